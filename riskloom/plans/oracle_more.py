@@ -1,7 +1,115 @@
-"""Oracle SQL beyond feature engineering (filled in per operator group)."""
+"""Oracle SQL (DuckDB) for preparation and sampling queries.
+
+Ranks here are the plain ``row_number()`` over the whole class: the
+definition the distributed two-phase rank must reproduce.
+"""
 
 from __future__ import annotations
 
+from riskloom.plans.oracle import OBS_DAILY, OBS_GAPS, D
+
+RAW = ["tmmx", "tmmn", "rmax", "rmin", "vpd", "vs", "erc", "bi", "fm100", "fm1000", "pr", "srad"]
+GAP_COLS = ["tmmx", "vpd", "rmin"]
+KEYS = "latitude, longitude, d"
+
+
+def dbl(x: float) -> str:
+    return f"CAST({x!r} AS DOUBLE)"
+
+
+def lr(src: str, part: list[str], cls: str, n_col: str, want_expr: str, out: str) -> str:
+    """Largest-remainder share of ``want`` (may use ``tot``) over classes."""
+    p = f"PARTITION BY {', '.join(part)}" if part else ""
+    return f"""(SELECT * EXCLUDE (tot, want, ex, fl, rem, lft, rr), fl + CASE WHEN rr <= lft THEN 1 ELSE 0 END AS {out}
+ FROM (SELECT *, want - sum(fl) OVER ({p}) AS lft, row_number() OVER ({p} ORDER BY rem DESC, {cls} ASC) AS rr
+  FROM (SELECT *, CAST(floor(ex) AS BIGINT) AS fl, ex - floor(ex) AS rem
+   FROM (SELECT *, CAST({n_col} AS DOUBLE) / CAST(tot AS DOUBLE) * CAST(want AS DOUBLE) AS ex
+    FROM (SELECT *, {want_expr} AS want FROM (SELECT *, sum({n_col}) OVER ({p}) AS tot FROM {src}) a0) a1) a2) a3) a4)"""
+
+
+def holdout(ratio: float) -> str:
+    return f"tot - CAST(ceil({dbl(ratio)} * tot) AS BIGINT)"
+
+
+def split_sql(preset: str, table: str = "labels", id_col: str = "doc_id", cls: str = "toxic",
+              seed: int = 42) -> str:
+    r1, r2, where = {"60/20/20": (0.2, 0.25, "rest"), "70/15/15": (0.3, 0.5, "holdout")}[preset]
+    c0 = f"(SELECT {cls}, count(*) AS n FROM {table} GROUP BY {cls})"
+    c1 = f"(SELECT * EXCLUDE (kept1), n - kept1 AS h1 FROM {lr(c0, [], cls, 'n', holdout(r1), 'kept1')} b1)"
+    if where == "rest":
+        c2 = f"(SELECT *, n - h1 AS rest FROM {c1} b2)"
+        c3 = lr(c2, [], cls, "rest", holdout(r2), "kept2")
+        q = f"(SELECT {cls}, h1 AS cut_1, h1 + (rest - kept2) AS cut_2 FROM {c3} b3)"
+    else:
+        c3 = lr(c1, [], cls, "h1", holdout(r2), "kept2")
+        q = f"(SELECT {cls}, h1 - kept2 AS cut_1, h1 AS cut_2 FROM {c3} b3)"
+    rk = (f"(SELECT {id_col}, {cls}, row_number() OVER (PARTITION BY {cls} ORDER BY "
+          f"md5('{seed}-' || CAST({id_col} AS VARCHAR)), {id_col}) AS rk FROM {table})")
+    return (f"SELECT r.{id_col}, r.{cls}, CASE WHEN rk <= cut_1 THEN 'test' WHEN rk <= cut_2 THEN 'val' "
+            f"ELSE 'train' END AS split FROM {rk} r JOIN {q} q USING ({cls})")
+
+
+def samples_sql() -> str:
+    s = f"({split_sql('70/15/15')})"
+    x = (f"(SELECT s.*, CAST(m.range AS INTEGER) AS model_id, CASE s.split WHEN 'train' THEN 0 WHEN 'val' THEN 100 "
+         f"WHEN 'test' THEN 200 END AS off FROM {s} s, range(1, 13) m)")
+    cnt = f"(SELECT model_id, split, toxic, count(*) AS n FROM {x} c GROUP BY model_id, split, toxic)"
+    q = f"(SELECT model_id, split, toxic, n - kept AS cut FROM {lr(cnt, ['model_id', 'split'], 'toxic', 'n', holdout(1.0 / 12), 'kept')} q0)"
+    rk = (f"(SELECT doc_id, toxic, split, model_id, row_number() OVER (PARTITION BY model_id, split, toxic ORDER BY "
+          f"md5(CAST(42 + model_id + off AS VARCHAR) || '-' || CAST(doc_id AS VARCHAR)), doc_id) AS rk FROM {x} y)")
+    return (f"SELECT r.doc_id, r.toxic, r.split, r.model_id FROM {rk} r JOIN {q} q USING (model_id, split, toxic) "
+            f"WHERE rk <= cut")
+
+
+def fixed_sample_sql(n: int = 100) -> str:
+    c0 = "(SELECT toxic, count(*) AS n FROM labels GROUP BY toxic)"
+    q = f"(SELECT toxic, k AS cut FROM {lr(c0, [], 'toxic', 'n', f'least(CAST({n} AS BIGINT), tot)', 'k')} q0)"
+    rk = ("(SELECT doc_id, toxic, row_number() OVER (PARTITION BY toxic ORDER BY md5('42-' || CAST(doc_id AS VARCHAR)),"
+          " doc_id) AS rk FROM labels)")
+    return f"SELECT r.doc_id, r.toxic FROM {rk} r JOIN {q} q USING (toxic) WHERE rk <= cut"
+
+
+def rr(expr: str, alias: str) -> str:
+    return f"round(CAST({expr} AS DOUBLE), {D}) AS {alias}"
+
 
-def all_sql() -> dict:
-    return {}
+def all_sql() -> dict[str, str]:
+    g = f"({OBS_GAPS})"
+    o = f"({OBS_DAILY})"
+    med = ", ".join(rr(f"coalesce({c}, (SELECT median({c}) FROM {g} m))", c) for c in GAP_COLS)
+    dbl_arr = "CAST(embedding AS DOUBLE[])"
+    norm = f"sqrt(list_reduce(list_transform({dbl_arr}, lambda y: y * y), lambda a, b: a + b)) + 1e-8"
+    stats = " UNION ALL ".join(
+        f"SELECT '{c}' AS feature, {rr(f'avg({c})', 'mean')}, {rr(f'stddev_pop({c})', 'std')} FROM {o} s{i}"
+        for i, c in enumerate(RAW))
+    std = ", ".join(rr(f"({c} - avg({c}) OVER ()) / coalesce(nullif(stddev_pop({c}) OVER (), 0), 1)", c) for c in RAW)
+    out = {
+        "median_impute": f"SELECT {KEYS}, {med} FROM {g} g",
+        "mode_impute": (f"SELECT {KEYS}, coalesce(wildfire, (SELECT wildfire FROM {g} m WHERE wildfire IS NOT NULL "
+                        f"GROUP BY wildfire ORDER BY count(*) DESC, wildfire ASC LIMIT 1)) AS wildfire FROM {g} g"),
+        "label_encode": ("SELECT doc_id, lang, source, "
+                         "CASE WHEN lang IS NULL THEN NULL ELSE CAST(dense_rank() OVER (ORDER BY lang) - 1 AS INTEGER) END AS lang_code, "
+                         "CASE WHEN source IS NULL THEN NULL ELSE CAST(dense_rank() OVER (ORDER BY source) - 1 AS INTEGER) END AS source_code "
+                         "FROM documents"),
+        "target_encode": f"SELECT {KEYS}, CAST(dense_rank() OVER (ORDER BY wildfire) - 1 AS INTEGER) AS wildfire FROM {o} o",
+        "scaler_stats": stats,
+        "standardise": f"SELECT {KEYS}, {std} FROM {o} o",
+        "bool_target": (f"SELECT {KEYS}, wildfire, CAST(CASE WHEN lower(CAST(wildfire AS VARCHAR)) IN ('yes', 'true', '1') "
+                        f"THEN 1 ELSE 0 END AS TINYINT) AS y FROM {g} g"),
+        "fit_width": (f"SELECT vec_id, list_resize({dbl_arr}, 3, CAST(0 AS DOUBLE)) AS v3, "
+                      f"list_resize({dbl_arr}, 64, CAST(0 AS DOUBLE)) AS v64, "
+                      f"list_resize({dbl_arr}, 70, CAST(0 AS DOUBLE)) AS v70 FROM embeddings"),
+        "l2_normalise": (f"SELECT vec_id, list_transform({dbl_arr}, lambda x: round(x / ({norm}), {D})) AS unit "
+                         f"FROM embeddings"),
+        "stratified_split": split_sql("60/20/20"),
+        "stratified_split_70": split_sql("70/15/15"),
+        "stratified_samples": samples_sql(),
+        "fixed_sample": fixed_sample_sql(100),
+        "session_slice": ("SELECT doc_id, toxic FROM (SELECT doc_id, toxic, row_number() OVER (ORDER BY doc_id) - 1 AS pos "
+                          "FROM labels) s WHERE pos >= 100 AND pos < 200"),
+        "half_split": ("SELECT doc_id, toxic, CASE WHEN row_number() OVER (ORDER BY doc_id) - 1 < count(*) OVER () // 2 "
+                       "THEN 'first' ELSE 'second' END AS half FROM labels"),
+    }
+    from riskloom.plans import oracle_select
+    out.update(oracle_select.all_sql())
+    return out

@@ -8,7 +8,7 @@ scale).
 from __future__ import annotations
 
 from riskloom.operators.ensemble import threshold_grid
-from riskloom.plans.oracle import D
+from riskloom.plans.oracle import OBS_DAILY, D
 
 SCORES = ("(SELECT vec_id AS row_id, CAST(m.range AS INTEGER) AS model_id, "
           "least(greatest(CAST(0.5 AS DOUBLE) + CAST(embedding[m.range] AS DOUBLE), CAST(0 AS DOUBLE)), "
@@ -114,6 +114,10 @@ CONFIG = (f"(SELECT t.strategy, t.threshold, t.balanced_accuracy, t.f1, t.recall
 def all_sql() -> dict[str, str]:
     lab = "labels"
     return {
+        "artefact_audit": (f"WITH o AS ({OBS_DAILY}), e AS (SELECT DISTINCT latitude, longitude FROM o), "
+                           "days AS (SELECT CAST(unnest(generate_series((SELECT min(d) FROM o), (SELECT max(d) FROM o), "
+                           "INTERVAL 1 DAY)) AS DATE) AS d) "
+                           "SELECT latitude, longitude, d FROM e, days EXCEPT SELECT latitude, longitude, d FROM o"),
         "class_balance": (f"SELECT count(*) AS n, {ci('toxic = 1')} AS positives, {rnd(ratio('count_if(toxic = 1)', 'count(*)'), 'positive_share')}, "
                           f"{rnd('CASE WHEN count_if(toxic = 1) > 0 THEN CAST(count(*) - count_if(toxic = 1) AS DOUBLE) / count_if(toxic = 1) END', 'pos_weight')} FROM {lab}"),
         "class_weights": (f"SELECT toxic, n_class, {rnd('CASE WHEN min(n_class) OVER () = 0 THEN 1 ELSE CAST(n AS DOUBLE) / (2 * n_class) END', 'weight')} "

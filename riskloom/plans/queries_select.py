@@ -110,8 +110,14 @@ def q_apply_config(spark, sf_dir):
     return rounded(E.apply_config(s, E.config_table(o["best_strategy"], o["weights"])))
 
 
+def q_artefact_audit(spark, sf_dir):
+    from riskloom.sources.audit import daily_gaps
+    return daily_gaps(A.obs_daily(spark, sf_dir), ["latitude", "longitude"])
+
+
 def registry() -> dict:
     return {
+        "artefact_audit": q_artefact_audit,
         "class_balance": q_class_balance,
         "class_weights": q_class_weights,
         "model_metrics": q_model_metrics,

@@ -37,8 +37,9 @@ def obs_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.min("k") + F.lit(1.0)).alias("fm100"), (F.max("k") + F.lit(2.0)).alias("fm1000"),
         F.sum(F.when(F.col("event_type") == "view", 1).otherwise(0)).cast("double").alias("pr"),
         (F.max("value") * F.lit(2.0)).alias("srad"),
-        F.max(F.when(F.col("event_type") == "error", "Yes").otherwise("No")).alias("wildfire"),
-    )
+        # max over an int flag keeps the aggregation hash-based (max of text would sort)
+        F.max(F.when(F.col("event_type") == "error", 1).otherwise(0)).alias("__err"),
+    ).withColumn("wildfire", F.when(F.col("__err") == 1, "Yes").otherwise("No"))
     return g.select(
         (F.col("user_id") % 12).cast("double").alias("latitude"),
         F.floor(F.col("user_id") / F.lit(12.0)).cast("double").alias("longitude"),

@@ -116,8 +116,9 @@ def registry() -> dict:
         "session_slice": q_session_slice,
         "half_split": q_half_split,
     }
-    from riskloom.plans import queries_select
+    from riskloom.plans import queries_ml, queries_select
     out.update(queries_select.registry())
+    out.update(queries_ml.registry())
     return out
 
 

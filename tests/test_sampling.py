@@ -63,3 +63,31 @@ def test_session_slice_and_half(spark):
     assert ids == list(range(200, 250))
     h = B.half_split(df, "id")
     assert sorted(r.id for r in h.where("half = 'first'").collect()) == list(range(125))
+
+
+def test_knn_exact_against_brute_force():
+    import numpy as np
+    from riskloom.operators.oversample import knn_indices
+    rng = np.random.default_rng(0)
+    x = rng.normal(size=(300, 8))
+    got = knn_indices(x, 5, block=64)
+    d = ((x[:, None, :] - x[None, :, :]) ** 2).sum(-1)
+    np.fill_diagonal(d, np.inf)
+    exp = np.argsort(d, axis=1, kind="stable")[:, :5]
+    assert (np.sort(got, axis=1) == np.sort(exp, axis=1)).all()
+
+
+def test_smote_ratio_and_interpolation(spark):
+    from riskloom.operators.oversample import smote_sessions, positional_index
+    rows = [(i, [float(i % 13), float(i % 7)], 1 if i % 10 == 0 else 0) for i in range(400)]
+    df = spark.createDataFrame(rows, "row_id long, features array<double>, y int")
+    out = smote_sessions(df, "row_id", "features", "y", per_session=200).collect()
+    for s in (1, 2):
+        ys = [r.y for r in out if r.session == s]
+        pos, neg = sum(ys), len(ys) - sum(ys)
+        assert pos == int(neg * 0.3) and neg == 180
+    # synthetic points lie inside the minority bounding box
+    syn = [r.features for r in out if r.synthetic == 1]
+    assert syn and all(0.0 <= f[0] <= 12.0 and 0.0 <= f[1] <= 6.0 for f in syn)
+    p = positional_index(df, "row_id").collect()
+    assert sorted((r.row_id, r.position) for r in p) == [(i, i) for i in range(400)]

@@ -53,8 +53,15 @@ def q_minority_oversample(spark, sf_dir):
         "row_id", "session", "synthetic", "y", F.size("features").alias("width"))
 
 
+def q_model_shards(spark, sf_dir):
+    from riskloom.plans.shard import model_shards, prepare_vectors
+    vec, _ = prepare_vectors(A.obs_daily(spark, sf_dir))
+    return model_shards(vec).select("row_id", "model_id", "split", "y", F.size("features").alias("width"))
+
+
 def registry() -> dict:
     return {
+        "model_shards": q_model_shards,
         "boosted_scores": q_boosted_scores,
         "stacked_logistic": q_stacked_logistic,
         "stacked_forest": q_stacked_forest,

@@ -24,7 +24,7 @@ LAGCHG = ["temp_lag1", "vpd_lag1", "humidity_lag1", "temp_change", "humidity_cha
 ROLL = ["temp_3day_avg", "temp_7day_avg", "vpd_3day_avg", "vpd_7day_avg", "humidity_3day_avg"]
 
 # Skew-safe window plan chunk width used by the flagship (days).
-FLAGSHIP_CHUNK_DAYS = 7
+FLAGSHIP_CHUNK_DAYS = 32
 
 
 def _obs_parsed(spark, sf_dir):

@@ -23,7 +23,7 @@ N_MODELS = 12
 
 
 def prepare_vectors(obs: DataFrame, roles: Roles = Roles(), width: int = WIDTH, fit_on_all: bool = True,
-                    chunk_days: int | None = 7, id_col: str = "row_id") -> tuple[DataFrame, list[str]]:
+                    chunk_days: int | None = 32, id_col: str = "row_id") -> tuple[DataFrame, list[str]]:
     """(row_id, features array<double>[width], y) plus the feature names.
 
     row_id is the entity/time key as text (unique by construction). Target:

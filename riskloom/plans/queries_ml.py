@@ -59,8 +59,18 @@ def q_model_shards(spark, sf_dir):
     return model_shards(vec).select("row_id", "model_id", "split", "y", F.size("features").alias("width"))
 
 
+def q_strategy_report(spark, sf_dir):
+    return T.strategy_report(_run(spark, sf_dir))
+
+
+def q_trained_model_info(spark, sf_dir):
+    return _run(spark, sf_dir)["model_info"].drop("params")
+
+
 def registry() -> dict:
     return {
+        "strategy_report": q_strategy_report,
+        "trained_model_info": q_trained_model_info,
         "model_shards": q_model_shards,
         "boosted_scores": q_boosted_scores,
         "stacked_logistic": q_stacked_logistic,

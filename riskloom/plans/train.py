@@ -17,6 +17,7 @@ from riskloom.operators import models as L
 from riskloom.operators.ensemble import combine_scores, strategy_weights, screen_models
 from riskloom.operators.metrics import validation_metrics
 from riskloom.operators.sampling import half_split, stratified_split
+from riskloom.session import checkpoint_dir
 from riskloom.sources import io
 
 
@@ -31,9 +32,16 @@ def train_ensemble(spark: SparkSession, data: DataFrame, preset: str = "fast", s
     # fits are many small jobs: run as many concurrently as there are task slots
     par = parallelism or min(12, spark.sparkContext.defaultParallelism)
     fitted = L.fit_ensemble(train, L.ensemble_configs(preset), parallelism=par)
-    val_scores = L.score_long(fitted, val)
-    test_scores = L.score_long(fitted, test)
-    info = L.model_info_table(spark, fitted, validation_metrics(val_scores))
+    # score tables are cached once (the reference caches test predictions
+    # too): checkpoint() writes them to the shared checkpoint folder, which
+    # also cuts the 12-model lineage that every later step would re-plan
+    checkpoint_dir(spark)
+    val_scores = L.score_long(fitted, val).checkpoint(eager=True)
+    test_scores = L.score_long(fitted, test).checkpoint(eager=True)
+    # best round under the reference's patience rule (one loss list per model)
+    rounds = spark.createDataFrame([(c.model_id, *L.patience_round(m, val)) for c, m in fitted],
+                                   "model_id int, best_round int, stop_round int")
+    info = L.model_info_table(spark, fitted, validation_metrics(val_scores)).join(rounds, "model_id", "left")
     return {"split": s, "scaler": stats, "fitted": fitted, "val_scores": val_scores, "test_scores": test_scores,
             "model_info": info}
 
@@ -57,6 +65,23 @@ def forest_stack(run: dict, cut: float = 0.5, min_val_f1: float | None = 0.01) -
     return L.stacked_scores(model, piv.where("half = 'second'"), cut)
 
 
+def strategy_report(run: dict, min_val_f1: float | None = 0.01) -> DataFrame:
+    """E6 as reported: the three combinations at the chosen cut (ranked by
+    balanced accuracy, listed order on ties) plus the forest stacker at the
+    same cut, evaluated on the second half of the test rows and excluded
+    from the choice (``note``)."""
+    from riskloom.operators.ensemble import optimise
+    from riskloom.operators.metrics import evaluate
+    opt = optimise(run["test_scores"], run["model_info"], min_val_f1)
+    cut = opt["strategies"].select("threshold").first()["threshold"]  # one value
+    cols = ["strategy", "threshold", "recall", "specificity", "balanced_accuracy", "f1"]
+    table = opt["strategies"].select(*cols).withColumn("note", F.lit(None).cast("string"))
+    forest = evaluate(forest_stack(run, cut, min_val_f1), "score", "y", cut).select(
+        F.lit("meta_learner").alias("strategy"), F.lit(cut).alias("threshold"), "recall", "specificity",
+        "balanced_accuracy", "f1", F.lit("evaluated on 50% of the test rows").alias("note"))
+    return table.unionByName(forest)
+
+
 def save_artefacts(spark: SparkSession, run: dict, path: str) -> None:
     """S4 + S5 + S6: scaler stats, model_info, scores and one folder per model."""
     means, stds = run["scaler"]

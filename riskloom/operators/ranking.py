@@ -40,6 +40,33 @@ def text_bucket(c: Column) -> Column:
     return c1 * F.lit(0x110000) + c2
 
 
+def sampled_range_bucket(df: DataFrame, part: str, value: str, buckets: int = 256, per_bucket: int = 20,
+                         seed: int = 42) -> Column:
+    """Monotone bucket for any orderable column: boundaries are quantiles of
+    a bounded sample (about ``buckets * per_bucket`` values per part value
+    collected), bucket = number of boundaries <= value (same part).
+
+    Unlike a fixed prefix, the buckets follow the data: values sharing a
+    long common prefix (ids, dates) still spread over many buckets.
+    """
+    counts = {r[0]: r[1] for r in df.groupBy(part).count().collect()}  # one row per part value
+    want = buckets * per_bucket
+    fractions = {p: min(1.0, want / max(n, 1)) for p, n in counts.items()}
+    samples: dict = {p: [] for p in counts}
+    for r in df.select(part, value).sampleBy(part, fractions, seed).collect():  # ~want rows per part
+        samples[r[0]].append(r[1])
+    bounds: dict = {}
+    for p, vals in samples.items():
+        vals = sorted(v for v in vals if v is not None)
+        step = max(1, len(vals) // buckets)
+        bounds[p] = sorted(set(vals[step::step]))
+    if not any(bounds.values()):
+        return F.lit(0)
+    m = F.create_map(*[x for p, b in bounds.items() if b for x in (F.lit(p), F.array(*[F.lit(v) for v in b]))])
+    arr = F.coalesce(F.element_at(m, F.col(part)), F.array().cast(f"array<{dict(df.dtypes)[value]}>"))
+    return F.size(F.filter(arr, lambda b: b <= F.col(value)))
+
+
 def bucket_offsets(df: DataFrame, part: list[str], bucket: str) -> DataFrame:
     """(part..., bucket, __n, __start): rows per bucket and rows before it."""
     counts = df.groupBy(*part, bucket).agg(F.count(F.lit(1)).alias("__n"))

@@ -74,7 +74,8 @@ def two_way_split(df: DataFrame, id_col: str, label: str, ratio: float, seed: in
 
 def stratified_samples(df: DataFrame, id_col: str, label: str, split_col: str = "split", n_models: int = 12,
                        fraction: float | None = None, seed_base: int = DEFAULT_SEED,
-                       split_offsets: dict[str, int] | None = None, digits: int = 3) -> DataFrame:
+                       split_offsets: dict[str, int] | None = None, digits: int = 3,
+                       approximate: bool = False) -> DataFrame:
     """For every model m and split s an independent stratified sample of
     ``fraction`` (default 1/n_models) of the split's rows, seed
     seed_base + m + offset(s). Samples overlap across models, as in the
@@ -86,6 +87,20 @@ def stratified_samples(df: DataFrame, id_col: str, label: str, split_col: str =
     """
     fraction = fraction if fraction is not None else 1.0 / n_models
     offsets = split_offsets or {"train": 0, "val": 100, "test": 200}
+    if approximate:
+        # Bernoulli per (model, split, class) stratum: no counts pass, sizes
+        # only approximately equal to the quota
+        labels = [r[0] for r in df.select(label).distinct().collect()]  # one row per class
+        parts = []
+        for m in range(1, n_models + 1):
+            for sp, off in offsets.items():
+                sub = df.where(F.col(split_col) == sp)
+                parts.append(sub.sampleBy(label, {c: fraction for c in labels}, seed_base + m + off)
+                             .withColumn("model_id", F.lit(m)))
+        out = parts[0]
+        for p in parts[1:]:
+            out = out.unionByName(p)
+        return out
     off = F.coalesce(F.element_at(F.create_map(*[x for k, v in offsets.items() for x in (F.lit(k), F.lit(v))]),
                                   F.col(split_col)), F.lit(0))
     ex = df.withColumn("model_id", F.explode(F.sequence(F.lit(1), F.lit(n_models))))

@@ -91,3 +91,10 @@ def test_smote_ratio_and_interpolation(spark):
     assert syn and all(0.0 <= f[0] <= 12.0 and 0.0 <= f[1] <= 6.0 for f in syn)
     p = positional_index(df, "row_id").collect()
     assert sorted((r.row_id, r.position) for r in p) == [(i, i) for i in range(400)]
+
+
+def test_samples_approximate_mode(spark):
+    s = B.stratified_split(labels(spark), "id", "y", "70/15/15")
+    smp = B.stratified_samples(s, "id", "y", "split", n_models=3, approximate=True)
+    n = smp.where("split = 'train'").groupBy("model_id").count().collect()
+    assert len(n) == 3 and all(180 <= r["count"] <= 290 for r in n)  # ~697/3

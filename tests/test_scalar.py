@@ -47,3 +47,19 @@ def test_rescale_and_sign(spark):
     df = spark.createDataFrame([(-1.0, 0), (0.5, 1)], "e double, y int")
     r = df.select(S.rescale_unit("e").alias("p"), S.sign_decision("e").alias("d"), S.signed_label("y").alias("s")).collect()
     assert [(x.p, x.d, x.s) for x in r] == [(0.0, 0, -1), (0.75, 1, 1)]
+
+
+def test_division_by_zero_is_null(spark):
+    from riskloom.functions.features import safe_ratio
+    df = spark.createDataFrame([(1.0, -1e-6), (1.0, 1.0)], "a double, b double")
+    got = [r.r for r in df.select(safe_ratio("a", "b").alias("r")).collect()]
+    assert got[0] is None and abs(got[1] - 1 / (1 + 1e-6)) < 1e-15
+
+
+def test_bad_date_modes(spark):
+    import pytest
+    df = spark.createDataFrame([("2024-01-05",), ("not a date",)], "s string")
+    got = [r.t for r in df.select(S.parse_time("s").alias("t")).collect()]
+    assert got[0].day == 5 and got[1] is None
+    with pytest.raises(Exception):
+        df.select(S.parse_time("s", mode="strict").alias("t")).collect()

@@ -16,7 +16,7 @@ from riskloom.operators.prepare import apply_scaler, fit_scaler
 from riskloom.operators.sampling import stratified_samples, stratified_split
 from riskloom.plans.engineer import engineer_features, feature_columns
 from riskloom.schema import Roles, require_columns
-from riskloom.session import checkpoint_dir
+from riskloom.session import materialize
 from riskloom.sources import io
 
 WIDTH = 64
@@ -25,7 +25,7 @@ N_MODELS = 12
 
 def prepare_vectors(obs: DataFrame, roles: Roles = Roles(), width: int = WIDTH, fit_on_all: bool = True,
                     chunk_days: int | None = 32, id_col: str = "row_id",
-                    materialize: bool = True) -> tuple[DataFrame, list[str]]:
+                    write_once: bool = True) -> tuple[DataFrame, list[str]]:
     """(row_id, features array<double>[width], y) plus the feature names.
 
     row_id is the entity/time key as text (unique by construction). Target:
@@ -38,12 +38,11 @@ def prepare_vectors(obs: DataFrame, roles: Roles = Roles(), width: int = WIDTH,
              if dict(eng.dtypes)[c] not in ("string", "date", "timestamp", "timestamp_ntz")]
     key = F.concat_ws("|", *[F.col(k).cast("string") for k in roles.entity], F.col(roles.time).cast("string"))
     x = eng.select(key.alias(id_col), *feats, narrow_target(bool_target(roles.target)).cast("int").alias("y"))
-    if materialize:
+    if write_once:
         # the scaler fit, the split counts and the sample counts all read this
         # table: write it once to the shared checkpoint folder instead of
         # recomputing the feature plan for every pass
-        checkpoint_dir(x.sparkSession)
-        x = x.checkpoint(eager=True)
+        x = materialize(x, "engineered")
     if fit_on_all:
         x = apply_scaler(x, fit_scaler(x, feats), feats)
     vec = fit_width(F.transform(assemble_array(feats, "float"), lambda v: narrow_feature(v)), width)

@@ -17,7 +17,7 @@ from riskloom.operators import models as L
 from riskloom.operators.ensemble import combine_scores, strategy_weights, screen_models
 from riskloom.operators.metrics import validation_metrics
 from riskloom.operators.sampling import half_split, stratified_split
-from riskloom.session import checkpoint_dir
+from riskloom.session import materialize
 from riskloom.sources import io
 
 
@@ -32,12 +32,11 @@ def train_ensemble(spark: SparkSession, data: DataFrame, preset: str = "fast", s
     # fits are many small jobs: run as many concurrently as there are task slots
     par = parallelism or min(12, spark.sparkContext.defaultParallelism)
     fitted = L.fit_ensemble(train, L.ensemble_configs(preset), parallelism=par)
-    # score tables are cached once (the reference caches test predictions
-    # too): checkpoint() writes them to the shared checkpoint folder, which
-    # also cuts the 12-model lineage that every later step would re-plan
-    checkpoint_dir(spark)
-    val_scores = L.score_long(fitted, val).checkpoint(eager=True)
-    test_scores = L.score_long(fitted, test).checkpoint(eager=True)
+    # score tables are written once (the reference caches test predictions
+    # too) as Parquet under the shared checkpoint folder, which also cuts the
+    # 12-model lineage that every later step would re-plan
+    val_scores = materialize(L.score_long(fitted, val), "val_scores")
+    test_scores = materialize(L.score_long(fitted, test), "test_scores")
     # best round under the reference's patience rule (one loss list per model)
     rounds = spark.createDataFrame([(c.model_id, *L.patience_round(m, val)) for c, m in fitted],
                                    "model_id int, best_round int, stop_round int")

@@ -63,7 +63,9 @@ def strategy_weights(screened: DataFrame, model_info: DataFrame) -> DataFrame:
     metric is an error upstream (no silent default)."""
     kept = screened.where("keep").select("model_id").join(
         model_info.select("model_id", "val_f1", "val_recall"), "model_id", "inner")
-    w = Window.partitionBy()
+    # sums run in model order (ordered full frame), so weights are the same
+    # bits on every run and every retry
+    w = Window.orderBy("model_id").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     k = F.count(F.lit(1)).over(w).cast("double")
     out = {"simple_average": F.lit(1.0) / k}
     for name, col in (("f1_weighted", "val_f1"), ("recall_weighted", "val_recall")):
@@ -199,3 +201,112 @@ def apply_config(scores: DataFrame, long_config: DataFrame) -> DataFrame:
 
 def column(c) -> Column:  # small helper for callers composing their own decisions
     return F.col(c) if isinstance(c, str) else c
+
+
+# -- wide form: one score array per row (model order) -------------------------
+# Applying every model to the same row yields the scores side by side; kept
+# that way, per-model statistics are one global partial aggregation and the
+# combinations are projections, so no step shuffles rows x models values.
+def _score(i: int, scores: str = "scores") -> Column:
+    return F.element_at(F.col(scores), i + 1)
+
+
+def _explode_models(row: DataFrame, model_ids: list[int], fields: list[str]) -> DataFrame:
+    arms = [F.struct(F.lit(int(m)).alias("model_id"), *[F.col(f"{f}_{i}").alias(f) for f in fields])
+            for i, m in enumerate(model_ids)]
+    return row.select(F.explode(F.array(*arms)).alias("e")).select("e.*")
+
+
+def confusion_wide(wide: DataFrame, model_ids: list[int], threshold: float = SCREEN_CUT, inclusive: bool = True,
+                   label: str = "y", scores: str = "scores") -> DataFrame:
+    """(model_id, tn, fp, fn, tp) for every model in one aggregation."""
+    y = F.col(label)
+    aggs = []
+    for i in range(len(model_ids)):
+        d = decide(_score(i, scores), threshold, inclusive)
+        aggs += [F.count_if((d == 0) & (y == 0)).alias(f"tn_{i}"), F.count_if((d == 1) & (y == 0)).alias(f"fp_{i}"),
+                 F.count_if((d == 0) & (y == 1)).alias(f"fn_{i}"), F.count_if((d == 1) & (y == 1)).alias(f"tp_{i}")]
+    return _explode_models(wide.agg(*aggs), model_ids, ["tn", "fp", "fn", "tp"])
+
+
+def validation_metrics_wide(wide: DataFrame, model_ids: list[int], threshold: float = 0.5,
+                            label: str = "y", scores: str = "scores") -> DataFrame:
+    """A6 on wide scores: F1 / recall / precision per model at score > cut."""
+    c = confusion_wide(wide, model_ids, threshold, False, label, scores).withColumns(metric_columns())
+    return c.select("model_id", F.col("f1").alias("val_f1"), F.col("recall").alias("val_recall"),
+                    F.col("precision").alias("val_precision"))
+
+
+def score_range_wide(wide: DataFrame, model_ids: list[int], scores: str = "scores") -> DataFrame:
+    aggs = []
+    for i in range(len(model_ids)):
+        aggs += [F.min(_score(i, scores)).alias(f"min_score_{i}"), F.max(_score(i, scores)).alias(f"max_score_{i}")]
+    return _explode_models(wide.agg(*aggs), model_ids, ["min_score", "max_score"])
+
+
+def screen_models_wide(wide: DataFrame, model_ids: list[int], model_info: DataFrame | None = None,
+                       min_val_f1: float | None = 0.01, cut: float = SCREEN_CUT, scores: str = "scores") -> DataFrame:
+    """E1 on wide scores (same output as ``screen_models``)."""
+    aggs = []
+    for i in range(len(model_ids)):
+        d = decide(_score(i, scores), cut)
+        aggs += [F.count_if(d == 1).alias(f"positives_{i}"), F.count_if(d == 0).alias(f"negatives_{i}")]
+    s = _explode_models(wide.agg(*aggs), model_ids, ["positives", "negatives"])
+    diverse = (F.col("positives") > 0) & (F.col("negatives") > 0)
+    if model_info is not None and min_val_f1 is not None:
+        s = s.join(F.broadcast(model_info.select("model_id", "val_f1")), "model_id", "left")
+        keep = diverse & F.coalesce(F.col("val_f1") > F.lit(float(min_val_f1)), F.lit(False))
+    else:
+        s = s.withColumn("val_f1", F.lit(None).cast("double"))
+        keep = diverse
+    return s.withColumn("keep", keep)
+
+
+def combine_wide(wide: DataFrame, model_ids: list[int], weights: DataFrame, label: str = "y",
+                 scores: str = "scores") -> DataFrame:
+    """E2/E3 as one projection. ``weights`` (one row per kept model: a fixed
+    bound) is collected; each strategy is an unrolled left-to-right sum over
+    the kept models in model order, the same arithmetic as ``combine_scores``."""
+    w = {r["model_id"]: r for r in weights.collect()}
+    kept = [(i, m) for i, m in enumerate(model_ids) if m in w]
+    if not kept:
+        raise ValueError("no model passed screening")
+    simple = F.lit(0.0)
+    f1w = F.lit(0.0)
+    recw = F.lit(0.0)
+    for i, m in kept:
+        s = _score(i, scores)
+        simple = simple + s
+        f1w = f1w + F.lit(float(w[m]["f1_weighted"])) * s
+        recw = recw + F.lit(float(w[m]["recall_weighted"])) * s
+    return wide.select("row_id", F.col(label).alias("y"), (simple / F.lit(float(len(kept)))).alias("simple_average"),
+                       f1w.alias("f1_weighted"), recw.alias("recall_weighted"))
+
+
+def optimise_wide(wide: DataFrame, model_ids: list[int], model_info: DataFrame | None = None,
+                  min_val_f1: float | None = 0.01, grid: list[float] | None = None) -> dict[str, DataFrame]:
+    """E-2 on wide scores: no step shuffles the score table."""
+    info = model_info if model_info is not None else validation_metrics_wide(wide, model_ids)
+    screened = screen_models_wide(wide, model_ids, info, min_val_f1)
+    weights = strategy_weights(screened, info)
+    combined = combine_wide(wide, model_ids, weights)
+    curve = threshold_curve(stack_strategies(combined), grid)
+    best = best_thresholds(curve)
+    chosen = best.where((F.col("strategy") == "simple_average") & (F.col("criterion") == "balanced_accuracy"))
+    table = strategy_table(curve, chosen)
+    return {"model_info": info, "screened": screened, "weights": weights, "combined": combined, "curve": curve,
+            "best": best, "strategies": table, "best_strategy": best_strategy(table)}
+
+
+def apply_config_wide(wide: DataFrame, model_ids: list[int], long_config: DataFrame,
+                      scores: str = "scores") -> DataFrame:
+    """E8 on wide scores: one projection with the config's weights and cut."""
+    rows = long_config.select("model_id", "weight", "threshold").collect()  # one row per model
+    w = {r["model_id"]: float(r["weight"]) for r in rows}
+    cut = float(rows[0]["threshold"])
+    s = F.lit(0.0)
+    for i, m in enumerate(model_ids):
+        if m in w:
+            s = s + F.lit(w[m]) * _score(i, scores)
+    return wide.select("row_id", s.alias("score"), F.lit(cut).alias("threshold")).withColumn(
+        "decision", decide(F.col("score"), F.col("threshold")))

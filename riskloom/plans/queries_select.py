@@ -19,7 +19,16 @@ def _model_info(scores):
     return info.withColumn("model_type", F.when(F.col("model_id") <= 6, "depth").otherwise("leaf"))
 
 
+MODEL_IDS = list(range(1, 13))
+
+
 def _opt(spark, sf_dir):
+    """E-2 on wide scores (the scale path: no step shuffles the score table)."""
+    w = A.scores_wide(spark, sf_dir)
+    return w, E.optimise_wide(w, MODEL_IDS, min_val_f1=0.01)
+
+
+def _opt_long(spark, sf_dir):
     s = A.scores(spark, sf_dir)
     return s, E.optimise(s, _model_info(s), min_val_f1=0.01)
 
@@ -66,7 +75,7 @@ def q_early_stop(spark, sf_dir):
 
 
 def q_screen_models(spark, sf_dir):
-    _, o = _opt(spark, sf_dir)
+    _, o = _opt_long(spark, sf_dir)
     return rounded(o["screened"])
 
 
@@ -106,8 +115,8 @@ def q_optimal_config(spark, sf_dir):
 
 
 def q_apply_config(spark, sf_dir):
-    s, o = _opt(spark, sf_dir)
-    return rounded(E.apply_config(s, E.config_table(o["best_strategy"], o["weights"])))
+    w, o = _opt(spark, sf_dir)
+    return rounded(E.apply_config_wide(w, MODEL_IDS, E.config_table(o["best_strategy"], o["weights"])))
 
 
 def q_artefact_audit(spark, sf_dir):

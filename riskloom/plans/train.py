@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskloom.operators import models as L
-from riskloom.operators.ensemble import combine_scores, strategy_weights, screen_models
+from riskloom.operators.ensemble import combine_scores, screen_models_wide, strategy_weights
 from riskloom.operators.metrics import validation_metrics
 from riskloom.operators.sampling import half_split, stratified_split
 from riskloom.session import materialize
@@ -35,31 +35,32 @@ def train_ensemble(spark: SparkSession, data: DataFrame, preset: str = "fast", s
     # score tables are written once (the reference caches test predictions
     # too) as Parquet under the shared checkpoint folder, which also cuts the
     # 12-model lineage that every later step would re-plan
-    val_scores = materialize(L.score_long(fitted, val), "val_scores")
-    test_scores = materialize(L.score_long(fitted, test), "test_scores")
+    ids = [c.model_id for c, _ in fitted]
+    val_wide = materialize(L.score_wide(fitted, val), "val_scores")
+    test_wide = materialize(L.score_wide(fitted, test), "test_scores")
+    val_scores, test_scores = L.wide_to_long(val_wide, ids), L.wide_to_long(test_wide, ids)
     # best round under the reference's patience rule (one loss list per model)
     rounds = spark.createDataFrame([(c.model_id, *L.patience_round(m, val)) for c, m in fitted],
                                    "model_id int, best_round int, stop_round int")
     info = L.model_info_table(spark, fitted, validation_metrics(val_scores)).join(rounds, "model_id", "left")
-    return {"split": s, "scaler": stats, "fitted": fitted, "val_scores": val_scores, "test_scores": test_scores,
-            "model_info": info}
+    return {"split": s, "scaler": stats, "fitted": fitted, "model_ids": ids, "val_wide": val_wide,
+            "test_wide": test_wide, "val_scores": val_scores, "test_scores": test_scores, "model_info": info}
 
 
 def logistic_stack(run: dict, cut: float = L.LOGISTIC_CUT) -> DataFrame:
     """Fit on validation scores, score the test rows."""
-    ids = [c.model_id for c, _ in run["fitted"]]
-    model = L.fit_logistic_stacker(L.pivot_scores(run["val_scores"], ids))
-    return L.stacked_scores(model, L.pivot_scores(run["test_scores"], ids), cut)
+    model = L.fit_logistic_stacker(L.wide_vector(run["val_wide"]))
+    return L.stacked_scores(model, L.wide_vector(run["test_wide"]), cut)
 
 
 def forest_stack(run: dict, cut: float = 0.5, min_val_f1: float | None = 0.01) -> DataFrame:
     """Working models only; first half of the test rows (by row_id) fits
     the forest, the second half is scored."""
-    screened = screen_models(run["test_scores"], run["model_info"], min_val_f1)
-    ids = [r.model_id for r in screened.where("keep").select("model_id").orderBy("model_id").collect()]
-    if not ids:
-        ids = [c.model_id for c, _ in run["fitted"]]
-    piv = half_split(L.pivot_scores(run["test_scores"], ids), "row_id")
+    all_ids = run["model_ids"]
+    screened = screen_models_wide(run["test_wide"], all_ids, run["model_info"], min_val_f1)
+    kept = {r.model_id for r in screened.where("keep").select("model_id").collect()}  # one row per model
+    positions = [i for i, m in enumerate(all_ids) if m in kept] or list(range(len(all_ids)))
+    piv = half_split(L.wide_vector(run["test_wide"], positions), "row_id")
     model = L.fit_forest_stacker(piv.where("half = 'first'"))
     return L.stacked_scores(model, piv.where("half = 'second'"), cut)
 
@@ -69,9 +70,9 @@ def strategy_report(run: dict, min_val_f1: float | None = 0.01) -> DataFrame:
     balanced accuracy, listed order on ties) plus the forest stacker at the
     same cut, evaluated on the second half of the test rows and excluded
     from the choice (``note``)."""
-    from riskloom.operators.ensemble import optimise
+    from riskloom.operators.ensemble import optimise_wide
     from riskloom.operators.metrics import evaluate
-    opt = optimise(run["test_scores"], run["model_info"], min_val_f1)
+    opt = optimise_wide(run["test_wide"], run["model_ids"], run["model_info"], min_val_f1)
     cut = opt["strategies"].select("threshold").first()["threshold"]  # one value
     cols = ["strategy", "threshold", "recall", "specificity", "balanced_accuracy", "f1"]
     table = opt["strategies"].select(*cols).withColumn("note", F.lit(None).cast("string"))
@@ -107,16 +108,16 @@ def score_new_data(spark: SparkSession, data: DataFrame, path: str, threshold: f
         mid = int(name.split("_")[1])
         fitted.append((L.ModelConfig(mid, name.split("_")[2], 0, 0.0, 0, 0, 0, ""),
                        GBTClassificationModel.load(f"{base}/{name}")))
-    long = L.score_long(fitted, x)
+    wide = L.score_wide(fitted, x)
     ids = [c.model_id for c, _ in fitted]
     w = weights or {m: 1.0 / len(ids) for m in ids}
-    wdf = spark.createDataFrame([(m, float(v)) for m, v in w.items()], "model_id int, weight double")
-    j = long.join(F.broadcast(wdf), "model_id")
-    g = j.groupBy("row_id").agg(F.array_sort(F.collect_list(F.struct("model_id", "score", "weight"))).alias("m"),
-                                F.max("y").alias("y"))
-    s = F.aggregate("m", F.lit(0.0), lambda acc, e: acc + e["weight"] * e["score"])
-    return g.select("row_id", "y", s.alias("score"),
-                    F.coalesce(s >= F.lit(float(threshold)), F.lit(False)).cast("int").alias("decision"))
+    # one projection: weighted sum in model order, then the cut
+    s = F.lit(0.0)
+    for i, m in enumerate(ids):
+        if m in w:
+            s = s + F.lit(float(w[m])) * F.element_at("scores", i + 1)
+    return wide.select("row_id", "y", s.alias("score"),
+                       F.coalesce(s >= F.lit(float(threshold)), F.lit(False)).cast("int").alias("decision"))
 
 
 __all__ = ["train_ensemble", "logistic_stack", "forest_stack", "save_artefacts", "score_new_data",

@@ -74,6 +74,17 @@ def scores(spark: SparkSession, sf_dir: str, n_models: int = N_MODELS) -> DataFr
     )
 
 
+def scores_wide(spark: SparkSession, sf_dir: str, n_models: int = N_MODELS) -> DataFrame:
+    """The same scores as ``scores`` side by side: (row_id, y, scores array)
+    with scores[m-1] = clamp(0.5 + embedding[m], 0, 1)."""
+    emb = table(spark, sf_dir, "embeddings")
+    return emb.select(
+        F.col("vec_id").alias("row_id"), F.when(F.col("label") == 0, 1).otherwise(0).alias("y"),
+        F.transform(F.slice("embedding", 1, n_models),
+                    lambda e: F.least(F.greatest(F.lit(0.5) + e.cast("double"), F.lit(0.0)), F.lit(1.0)))
+        .alias("scores"))
+
+
 def training_set(spark: SparkSession, sf_dir: str, width: int = 64) -> DataFrame:
     """(row_id, features array<double>[width], y) from ``embeddings``."""
     emb = table(spark, sf_dir, "embeddings")

@@ -78,3 +78,21 @@ def test_prefix_chunked_equals_plain(spark):
     a = {(r.k, r.i): (r.s, r.m, r.c) for r in prefix_agg(df, ["k"], [F.col("i")], aggs).collect()}
     b = {(r.k, r.i): (r.s, r.m, r.c) for r in prefix_agg(df, ["k"], [F.col("i")], aggs, F.floor(F.col("i") / 7)).collect()}
     assert a == b
+
+
+def test_wide_path_equals_long_path(spark):
+    from riskloom.sources import adapters as A
+    sf = "/root/testdata/sf0.001"
+    long, wide, ids = A.scores(spark, sf), A.scores_wide(spark, sf), list(range(1, 13))
+    ol = E.optimise(long, Q.validation_metrics(long))
+    ow = E.optimise_wide(wide, ids)
+    for k in ("screened", "weights", "combined", "curve", "best", "strategies"):
+        assert ol[k].exceptAll(ow[k].select(*ol[k].columns)).count() == 0, k
+    cfg = E.config_table(ow["best_strategy"], ow["weights"])
+    a = E.apply_config(long, cfg)
+    b = E.apply_config_wide(wide, ids, cfg)
+    assert a.exceptAll(b.select(*a.columns)).count() == 0
+    c1 = Q.confusion(long.withColumn("d", F.when(F.col("score") > 0.5, 1).otherwise(0)), "d", "y", ["model_id"])
+    c2 = E.confusion_wide(wide, ids, 0.5, inclusive=False)
+    assert c1.exceptAll(c2.select(*c1.columns)).count() == 0
+    assert Q.score_range(long).exceptAll(E.score_range_wide(wide, ids)).count() == 0

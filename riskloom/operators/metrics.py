@@ -141,22 +141,24 @@ def early_stop(runs: DataFrame, run: list[str], order: list, loss: str = "loss",
     ``patience`` consecutive losses not below the best so far (NULL if never),
     with the best loss and its iteration up to that point.
 
-    iteration = 1-based position in ``order``; everything is prefix scans,
-    chunkable by a monotone ``bucket``.
+    iteration = 1-based position in ``order``. Two prefix scans (chunkable by
+    a monotone ``bucket``) and one aggregation: the values at the stop row
+    (or the last row) are picked with min_by / max_by, no join.
     """
     step = prefix_agg(runs, run, order, {"iteration": ("count", F.lit(1), True),
-                                         "__prev_best": ("min", loss, False)}, bucket)
+                                         "__prev_best": ("min", loss, False),
+                                         "__best": ("min", loss, True)}, bucket)
     improved = F.col("__prev_best").isNull() | (F.col(loss) < F.col("__prev_best"))
     step = step.withColumn("__impr_it", F.when(improved, F.col("iteration")))
     step = prefix_agg(step, run, order, {"__last_impr": ("max", "__impr_it", True)}, bucket)
-    step = step.withColumn("__stop", (F.col("iteration") - F.col("__last_impr")) >= patience)
-    stops = step.groupBy(*run).agg(F.min(F.when(F.col("__stop"), F.col("iteration"))).alias("stop_iteration"),
-                                   F.count(F.lit(1)).alias("iterations"))
-    upto = step.join(stops, on=run, how="inner").where(
-        F.col("stop_iteration").isNull() | (F.col("iteration") <= F.col("stop_iteration")))
-    best = upto.groupBy(*run).agg(F.min_by(F.struct(F.col(loss).alias("best_loss"),
-                                                    F.col("iteration").alias("best_iteration")),
-                                           F.struct(F.col(loss), F.col("iteration"))).alias("b"),
-                                  F.max("iteration").alias("iterations_run"))
-    return (stops.join(best, on=run, how="inner")
-            .select(*run, "iterations", "iterations_run", "stop_iteration", "b.best_loss", "b.best_iteration"))
+    stop = (F.col("iteration") - F.col("__last_impr")) >= patience
+    state = F.struct(F.col("iteration").alias("it"), F.col("__best").alias("best"),
+                     F.col("__last_impr").alias("best_it"))
+    agg = step.groupBy(*run).agg(
+        F.count(F.lit(1)).alias("iterations"),
+        F.min(F.when(stop, F.col("iteration"))).alias("stop_iteration"),
+        F.min_by(state, F.when(stop, F.col("iteration"))).alias("__at_stop"),
+        F.max_by(state, F.col("iteration")).alias("__at_end"))
+    at = F.coalesce(F.col("__at_stop"), F.col("__at_end"))
+    return agg.select(*run, "iterations", at["it"].alias("iterations_run"), "stop_iteration",
+                      at["best"].alias("best_loss"), at["best_it"].alias("best_iteration"))

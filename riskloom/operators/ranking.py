@@ -90,8 +90,13 @@ def assign_by_rank(df: DataFrame, part: list[str], bucket: str, order: list, cut
     ``cuts`` has columns part... + cut_1..cut_n (non-decreasing rank
     positions per partition; rank <= cut_1 -> segment 0, and so on). One
     row per partition value, so it is small by construction and broadcast.
+    ``cuts`` may also be a function of the per-partition counts
+    (part..., __nc): they are then summed from the bucket counts, so one
+    aggregation over the input serves both.
     """
     offs = bucket_offsets(df, part, bucket)
+    if callable(cuts):
+        cuts = cuts(offs.groupBy(*part).agg(F.sum("__n").alias("__nc")))
     offs = offs.withColumn("__end", F.col("__start") + F.col("__n"))
     cut_cols = [f"cut_{i}" for i in range(1, n_cuts + 1)]
     # a cut splits a bucket when start < cut < end; otherwise the whole

@@ -38,9 +38,14 @@ def _holdout_quota(counts, part, label, n_col, ratio, name):
 
 def split_quotas(df: DataFrame, label: str, preset: str = "60/20/20", part: list[str] | None = None) -> DataFrame:
     """Per class: cut_1 = test rows, cut_2 = test + val rows."""
+    return split_quotas_from_counts(_class_counts(df, part or [], label), label, preset, part)
+
+
+def split_quotas_from_counts(c: DataFrame, label: str, preset: str = "60/20/20",
+                             part: list[str] | None = None) -> DataFrame:
+    """Same, from a (part..., label, __nc) counts table."""
     part = part or []
     r1, r2, where = PRESETS[preset]
-    c = _class_counts(df, part, label)
     c = _holdout_quota(c, part, label, "__nc", r1, "__h1")
     if where == "rest":
         c = c.withColumn("__rest", F.col("__nc") - F.col("__h1"))
@@ -55,10 +60,10 @@ def split_quotas(df: DataFrame, label: str, preset: str = "60/20/20", part: list
 def stratified_split(df: DataFrame, id_col: str, label: str, preset: str = "60/20/20",
                      seed: int = DEFAULT_SEED, digits: int = 3, name: str = "split") -> DataFrame:
     """B1/B2: add ``split`` in {train, val, test} with exact per-class counts."""
-    cuts = split_quotas(df, label, preset)
     h = df.withColumn("__h", hash_key(id_col, seed))
     h = h.withColumn("__b", hex_bucket(F.col("__h"), digits))
-    seg = assign_by_rank(h, [label], "__b", [F.col("__h"), F.col(id_col)], cuts, 2, "__seg")
+    seg = assign_by_rank(h, [label], "__b", [F.col("__h"), F.col(id_col)],
+                         lambda c: split_quotas_from_counts(c, label, preset), 2, "__seg")
     return seg.withColumn(name, F.element_at(F.array(*[F.lit(s) for s in SEGMENTS]), F.col("__seg") + 1)) \
               .drop("__h", "__b", "__seg")
 
@@ -66,9 +71,10 @@ def stratified_split(df: DataFrame, id_col: str, label: str, preset: str = "60/2
 def two_way_split(df: DataFrame, id_col: str, label: str, ratio: float, seed: int = DEFAULT_SEED,
                   digits: int = 3, name: str = "holdout") -> DataFrame:
     """B1: ``holdout`` = 1 for ceil(ratio*n) rows shared by class, else 0."""
-    c = _holdout_quota(_class_counts(df, [], label), [], label, "__nc", ratio, "cut_1").select(label, "cut_1")
     h = df.withColumn("__h", hash_key(id_col, seed)).withColumn("__b", hex_bucket(F.col("__h"), digits))
-    seg = assign_by_rank(h, [label], "__b", [F.col("__h"), F.col(id_col)], c, 1, "__seg")
+    seg = assign_by_rank(h, [label], "__b", [F.col("__h"), F.col(id_col)],
+                         lambda c: _holdout_quota(c, [], label, "__nc", ratio, "cut_1").select(label, "cut_1"),
+                         1, "__seg")
     return seg.withColumn(name, (F.col("__seg") == 0).cast("int")).drop("__h", "__b", "__seg")
 
 
@@ -107,8 +113,10 @@ def stratified_samples(df: DataFrame, id_col: str, label: str, split_col: str =
     ex = ex.withColumn("__h", hash_key(id_col, (F.lit(seed_base) + F.col("model_id") + off).cast("string")))
     ex = ex.withColumn("__b", hex_bucket(F.col("__h"), digits))
     part = ["model_id", split_col]
-    counts = _class_counts(ex, part, label)
-    cuts = _holdout_quota(counts, part, label, "__nc", fraction, "cut_1").select(*part, label, "cut_1")
+
+    def cuts(c):
+        return _holdout_quota(c, part, label, "__nc", fraction, "cut_1").select(*part, label, "cut_1")
+
     seg = assign_by_rank(ex, [*part, label], "__b", [F.col("__h"), F.col(id_col)], cuts, 1, "__seg")
     return seg.where(F.col("__seg") == 0).drop("__h", "__b", "__seg")
 
@@ -117,10 +125,11 @@ def fixed_sample(df: DataFrame, id_col: str, label: str, n: int, seed: int = DEF
                  digits: int = 3) -> DataFrame:
     """Exactly n rows with class shares kept (largest remainder), only
     when the table has more than n rows; otherwise the table itself."""
-    counts = _class_counts(df, [], label)
-    tot = F.sum("__nc").over(Window.partitionBy())
-    want = F.least(F.lit(int(n)).cast("long"), tot)
-    cuts = largest_remainder(counts, [], label, "__nc", want, "cut_1").select(label, "cut_1")
+    def cuts(counts):
+        tot = F.sum("__nc").over(Window.partitionBy())
+        want = F.least(F.lit(int(n)).cast("long"), tot)
+        return largest_remainder(counts, [], label, "__nc", want, "cut_1").select(label, "cut_1")
+
     h = df.withColumn("__h", hash_key(id_col, seed)).withColumn("__b", hex_bucket(F.col("__h"), digits))
     seg = assign_by_rank(h, [label], "__b", [F.col("__h"), F.col(id_col)], cuts, 1, "__seg")
     return seg.where(F.col("__seg") == 0).drop("__h", "__b", "__seg")

@@ -81,7 +81,10 @@ def q_stratified_split_70(spark, sf_dir):
 
 
 def q_stratified_samples(spark, sf_dir):
-    s = B.stratified_split(_labels(spark, sf_dir), "doc_id", "toxic", "70/15/15", SEED)
+    from riskloom.session import materialize
+    # the split table is written once (as the reference writes its splits):
+    # the per-model sampling reads it several times
+    s = materialize(B.stratified_split(_labels(spark, sf_dir), "doc_id", "toxic", "70/15/15", SEED), "splits")
     return B.stratified_samples(s, "doc_id", "toxic", "split", n_models=12).select(
         "doc_id", "toxic", "split", "model_id")
 

@@ -51,7 +51,8 @@ def prepare_vectors(obs: DataFrame, roles: Roles = Roles(), width: int = WIDTH,
 
 def model_shards(vectors: DataFrame, n_models: int = N_MODELS, id_col: str = "row_id",
                  split_preset: str = "70/15/15") -> DataFrame:
-    s = stratified_split(vectors, id_col, "y", split_preset)
+    # written once: the per-model sampling reads the split several times
+    s = materialize(stratified_split(vectors, id_col, "y", split_preset), "splits")
     return stratified_samples(s, id_col, "y", "split", n_models=n_models)
 
 

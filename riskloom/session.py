@@ -82,3 +82,19 @@ def materialize(df, name: str = "table"):
     path = f"{checkpoint_dir(spark).rstrip('/')}/tables/{name}-{uuid.uuid4().hex[:12]}"
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
+
+
+def scale_conf(shuffle_bytes: int, total_cores: int, target_bytes: int = 256 << 20) -> dict:
+    """Partition sizing for a cluster run: about ``target_bytes`` per shuffle
+    partition (fits executor memory without spilling much), never fewer than
+    two waves of tasks; AQE then coalesces small partitions and splits skewed
+    ones at runtime. Apply with ``spark.conf.set`` before the job."""
+    import math
+    n = max(2 * total_cores, math.ceil(shuffle_bytes / target_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(n),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(n),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_bytes),
+        "spark.sql.files.maxPartitionBytes": str(target_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+    }

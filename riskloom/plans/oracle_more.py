@@ -49,18 +49,26 @@ def split_sql(preset: str, table: str = "labels", id_col: str = "doc_id", cls: s
             f"ELSE 'train' END AS split FROM {rk} r JOIN {q} q USING ({cls})")
 
 
-def samples_sql() -> str:
-    s = f"({split_sql('70/15/15')})"
+def samples_sql(table: str = "labels", id_col: str = "doc_id", cls: str = "toxic", extra: str = "") -> str:
+    s = f"({split_sql('70/15/15', table, id_col, cls)})"
     x = (f"(SELECT s.*, CAST(m.range AS INTEGER) AS model_id, CASE s.split WHEN 'train' THEN 0 WHEN 'val' THEN 100 "
          f"WHEN 'test' THEN 200 END AS off FROM {s} s, range(1, 13) m)")
-    cnt = f"(SELECT model_id, split, toxic, count(*) AS n FROM {x} c GROUP BY model_id, split, toxic)"
-    q = f"(SELECT model_id, split, toxic, n - kept AS cut FROM {lr(cnt, ['model_id', 'split'], 'toxic', 'n', holdout(1.0 / 12), 'kept')} q0)"
-    rk = (f"(SELECT doc_id, toxic, split, model_id, row_number() OVER (PARTITION BY model_id, split, toxic ORDER BY "
-          f"md5(CAST(42 + model_id + off AS VARCHAR) || '-' || CAST(doc_id AS VARCHAR)), doc_id) AS rk FROM {x} y)")
-    return (f"SELECT r.doc_id, r.toxic, r.split, r.model_id FROM {rk} r JOIN {q} q USING (model_id, split, toxic) "
+    cnt = f"(SELECT model_id, split, {cls}, count(*) AS n FROM {x} c GROUP BY model_id, split, {cls})"
+    q = f"(SELECT model_id, split, {cls}, n - kept AS cut FROM {lr(cnt, ['model_id', 'split'], cls, 'n', holdout(1.0 / 12), 'kept')} q0)"
+    rk = (f"(SELECT {id_col}, {cls}, split, model_id, row_number() OVER (PARTITION BY model_id, split, {cls} ORDER BY "
+          f"md5(CAST(42 + model_id + off AS VARCHAR) || '-' || CAST({id_col} AS VARCHAR)), {id_col}) AS rk FROM {x} y)")
+    return (f"SELECT r.{id_col}, r.{cls}, r.split, r.model_id{extra} FROM {rk} r JOIN {q} q USING (model_id, split, {cls}) "
             f"WHERE rk <= cut")
 
 
+def shards_sql() -> str:
+    """Shard membership from the daily view: key text = entity|time, label = text target."""
+    src = (f"(SELECT concat_ws('|', CAST(latitude AS VARCHAR), CAST(longitude AS VARCHAR), datetime) AS row_id, "
+           f"CASE WHEN lower(CAST(wildfire AS VARCHAR)) IN ('yes', 'true', '1') THEN 1 ELSE 0 END AS y "
+           f"FROM ({OBS_DAILY}) o)")
+    return samples_sql(src, "row_id", "y", ", 64 AS width")
+
+
 def fixed_sample_sql(n: int = 100) -> str:
     c0 = "(SELECT toxic, count(*) AS n FROM labels GROUP BY toxic)"
     q = f"(SELECT toxic, k AS cut FROM {lr(c0, [], 'toxic', 'n', f'least(CAST({n} AS BIGINT), tot)', 'k')} q0)"
@@ -104,6 +112,7 @@ def all_sql() -> dict[str, str]:
         "stratified_split": split_sql("60/20/20"),
         "stratified_split_70": split_sql("70/15/15"),
         "stratified_samples": samples_sql(),
+        "model_shards": shards_sql(),
         "fixed_sample": fixed_sample_sql(100),
         "session_slice": ("SELECT doc_id, toxic FROM (SELECT doc_id, toxic, row_number() OVER (ORDER BY doc_id) - 1 AS pos "
                           "FROM labels) s WHERE pos >= 100 AND pos < 200"),

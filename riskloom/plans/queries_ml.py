@@ -67,8 +67,22 @@ def q_trained_model_info(spark, sf_dir):
     return _run(spark, sf_dir)["model_info"].drop("params")
 
 
+_OBS_RUNS: dict = {}
+
+
+def q_observation_scores(spark, sf_dir):
+    """E-1 on engineered observation features: impute, encode, split,
+    scale on train, 12 boosted models; test-row scores (long form)."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _OBS_RUNS:
+        vec, _ = T.classical_vectors(A.obs_daily(spark, sf_dir))
+        _OBS_RUNS[key] = T.train_ensemble(spark, vec, preset=PRESET)
+    return _OBS_RUNS[key]["test_scores"]
+
+
 def registry() -> dict:
     return {
+        "observation_scores": q_observation_scores,
         "strategy_report": q_strategy_report,
         "trained_model_info": q_trained_model_info,
         "model_shards": q_model_shards,

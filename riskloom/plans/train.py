@@ -47,6 +47,32 @@ def train_ensemble(spark: SparkSession, data: DataFrame, preset: str = "fast", s
             "test_wide": test_wide, "val_scores": val_scores, "test_scores": test_scores, "model_info": info}
 
 
+def classical_vectors(obs: DataFrame, chunk_days: int | None = 32) -> tuple[DataFrame, list[str]]:
+    """Observations -> (row_id, features array<double>, y) the way the
+    classical path prepares them: engineer, median-impute numeric columns,
+    mode-impute text columns, label-encode text features, 0/1 target.
+    The engineered table is written once (several passes read it)."""
+    from riskloom.functions.scalar import assemble_array, bool_target
+    from riskloom.operators import prepare as M
+    from riskloom.plans.engineer import engineer_features, feature_columns
+    from riskloom.schema import Roles
+    from riskloom.session import materialize as write_once
+    roles = Roles()
+    eng = engineer_features(obs, roles, chunk_days=chunk_days)
+    feats = feature_columns(eng, roles, extra_exclude=("d",))
+    types = dict(eng.dtypes)
+    num = [c for c in feats if types[c] in ("double", "float", "int", "bigint", "smallint", "tinyint")]
+    cat = [c for c in feats if types[c] == "string"]
+    key = F.concat_ws("|", *[F.col(k).cast("string") for k in roles.entity], F.col(roles.time).cast("string"))
+    x = write_once(eng.select(key.alias("row_id"), *num, *cat, roles.target), "classical_features")
+    x = M.median_impute(x, num)
+    x = M.mode_impute(x, cat + [roles.target])
+    if cat:
+        x = M.label_encode(x, cat)
+    vec = x.select("row_id", assemble_array(num + cat).alias("features"), bool_target(roles.target).alias("y"))
+    return vec, num + cat
+
+
 def logistic_stack(run: dict, cut: float = L.LOGISTIC_CUT) -> DataFrame:
     """Fit on validation scores, score the test rows."""
     model = L.fit_logistic_stacker(L.wide_vector(run["val_wide"]))

@@ -24,6 +24,18 @@ SEGMENTS = ["test", "val", "train"]
 DEFAULT_SEED = 42
 
 
+def auto_digits(df: DataFrame, digits: int | None) -> int:
+    """Hex digits of the hash bucket. Exactness never depends on it; it
+    balances the bucket-count table (16^d rows per class) against the rows of
+    a cut bucket that get an exact local rank (n / 16^d): both about sqrt(n).
+    3 digits up to ~10^7 rows, 5 at 10^12."""
+    if digits is not None:
+        return digits
+    import math
+    n = max(df.count(), 1)
+    return int(max(3, min(6, math.ceil(math.log(n, 16) / 2))))
+
+
 def _class_counts(df, part, label):
     return df.groupBy(*part, label).agg(F.count(F.lit(1)).alias("__nc"))
 
@@ -58,10 +70,10 @@ def split_quotas_from_counts(c: DataFrame, label: str, preset: str = "60/20/20",
 
 
 def stratified_split(df: DataFrame, id_col: str, label: str, preset: str = "60/20/20",
-                     seed: int = DEFAULT_SEED, digits: int = 3, name: str = "split") -> DataFrame:
+                     seed: int = DEFAULT_SEED, digits: int | None = None, name: str = "split") -> DataFrame:
     """B1/B2: add ``split`` in {train, val, test} with exact per-class counts."""
     h = df.withColumn("__h", hash_key(id_col, seed))
-    h = h.withColumn("__b", hex_bucket(F.col("__h"), digits))
+    h = h.withColumn("__b", hex_bucket(F.col("__h"), auto_digits(df, digits)))
     seg = assign_by_rank(h, [label], "__b", [F.col("__h"), F.col(id_col)],
                          lambda c: split_quotas_from_counts(c, label, preset), 2, "__seg")
     return seg.withColumn(name, F.element_at(F.array(*[F.lit(s) for s in SEGMENTS]), F.col("__seg") + 1)) \
@@ -69,9 +81,9 @@ def stratified_split(df: DataFrame, id_col: str, label: str, preset: str = "60/2
 
 
 def two_way_split(df: DataFrame, id_col: str, label: str, ratio: float, seed: int = DEFAULT_SEED,
-                  digits: int = 3, name: str = "holdout") -> DataFrame:
+                  digits: int | None = None, name: str = "holdout") -> DataFrame:
     """B1: ``holdout`` = 1 for ceil(ratio*n) rows shared by class, else 0."""
-    h = df.withColumn("__h", hash_key(id_col, seed)).withColumn("__b", hex_bucket(F.col("__h"), digits))
+    h = df.withColumn("__h", hash_key(id_col, seed)).withColumn("__b", hex_bucket(F.col("__h"), auto_digits(df, digits)))
     seg = assign_by_rank(h, [label], "__b", [F.col("__h"), F.col(id_col)],
                          lambda c: _holdout_quota(c, [], label, "__nc", ratio, "cut_1").select(label, "cut_1"),
                          1, "__seg")
@@ -80,7 +92,7 @@ def two_way_split(df: DataFrame, id_col: str, label: str, ratio: float, seed: in
 
 def stratified_samples(df: DataFrame, id_col: str, label: str, split_col: str = "split", n_models: int = 12,
                        fraction: float | None = None, seed_base: int = DEFAULT_SEED,
-                       split_offsets: dict[str, int] | None = None, digits: int = 3,
+                       split_offsets: dict[str, int] | None = None, digits: int | None = None,
                        approximate: bool = False) -> DataFrame:
     """For every model m and split s an independent stratified sample of
     ``fraction`` (default 1/n_models) of the split's rows, seed
@@ -111,7 +123,7 @@ def stratified_samples(df: DataFrame, id_col: str, label: str, split_col: str =
                                   F.col(split_col)), F.lit(0))
     ex = df.withColumn("model_id", F.explode(F.sequence(F.lit(1), F.lit(n_models))))
     ex = ex.withColumn("__h", hash_key(id_col, (F.lit(seed_base) + F.col("model_id") + off).cast("string")))
-    ex = ex.withColumn("__b", hex_bucket(F.col("__h"), digits))
+    ex = ex.withColumn("__b", hex_bucket(F.col("__h"), auto_digits(df, digits)))
     part = ["model_id", split_col]
 
     def cuts(c):
@@ -122,7 +134,7 @@ def stratified_samples(df: DataFrame, id_col: str, label: str, split_col: str =
 
 
 def fixed_sample(df: DataFrame, id_col: str, label: str, n: int, seed: int = DEFAULT_SEED,
-                 digits: int = 3) -> DataFrame:
+                 digits: int | None = None) -> DataFrame:
     """Exactly n rows with class shares kept (largest remainder), only
     when the table has more than n rows; otherwise the table itself."""
     def cuts(counts):
@@ -130,7 +142,7 @@ def fixed_sample(df: DataFrame, id_col: str, label: str, n: int, seed: int = DEF
         want = F.least(F.lit(int(n)).cast("long"), tot)
         return largest_remainder(counts, [], label, "__nc", want, "cut_1").select(label, "cut_1")
 
-    h = df.withColumn("__h", hash_key(id_col, seed)).withColumn("__b", hex_bucket(F.col("__h"), digits))
+    h = df.withColumn("__h", hash_key(id_col, seed)).withColumn("__b", hex_bucket(F.col("__h"), auto_digits(df, digits)))
     seg = assign_by_rank(h, [label], "__b", [F.col("__h"), F.col(id_col)], cuts, 1, "__seg")
     return seg.where(F.col("__seg") == 0).drop("__h", "__b", "__seg")
 

@@ -98,3 +98,9 @@ def test_samples_approximate_mode(spark):
     smp = B.stratified_samples(s, "id", "y", "split", n_models=3, approximate=True)
     n = smp.where("split = 'train'").groupBy("model_id").count().collect()
     assert len(n) == 3 and all(180 <= r["count"] <= 290 for r in n)  # ~697/3
+
+
+def test_bucket_width_does_not_change_results(spark):
+    df = labels(spark, 600)
+    outs = [B.stratified_split(df, "id", "y", "60/20/20", digits=d) for d in (1, 2, 4)]
+    assert outs[0].exceptAll(outs[1]).count() == 0 and outs[0].exceptAll(outs[2]).count() == 0

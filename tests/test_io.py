@@ -43,3 +43,13 @@ def test_model_session_audit(spark):
     man = spark.createDataFrame([(1, 1), (1, 2), (2, 1)], "model_id int, session int")
     miss = {(r.model_id, r.session) for r in model_session_gaps(man, 2, 2).collect()}
     assert miss == {(2, 2)}
+
+
+def test_daily_gaps_fixture(spark):
+    import datetime as dt
+    from riskloom.sources.audit import daily_gaps
+    d = dt.date(2024, 1, 1)
+    rows = [(1.0, 0.0, d), (1.0, 0.0, d + dt.timedelta(days=2)), (2.0, 0.0, d + dt.timedelta(days=1))]
+    obs = spark.createDataFrame(rows, "latitude double, longitude double, d date")
+    miss = {(r.latitude, r.d.day) for r in daily_gaps(obs, ["latitude", "longitude"]).collect()}
+    assert miss == {(1.0, 2), (2.0, 1), (2.0, 3)}

@@ -96,3 +96,13 @@ def test_wide_path_equals_long_path(spark):
     c2 = E.confusion_wide(wide, ids, 0.5, inclusive=False)
     assert c1.exceptAll(c2.select(*c1.columns)).count() == 0
     assert Q.score_range(long).exceptAll(E.score_range_wide(wide, ids)).count() == 0
+
+
+def test_history_rollup_fixture(spark):
+    rows = [(1, 1, 1, 10, 1.0), (1, 1, 2, 20, 2.0), (1, 1, 3, 30, 2.0), (2, 1, 1, 5, 0.0)]
+    df = spark.createDataFrame(rows, "model_id int, session int, iteration int, samples long, seconds double")
+    for chunk in (None, 2):
+        got = {(r.model_id, r.iteration): (r.samples_per_sec, r.cumulative_samples, r.elapsed, r.avg_throughput)
+               for r in Q.history_rollup(df, chunk=chunk).collect()}
+        assert got == {(1, 1): (10.0, 10, 1.0, 10.0), (1, 2): (10.0, 30, 3.0, 10.0),
+                       (1, 3): (15.0, 60, 5.0, 12.0), (2, 1): (0.0, 5, 0.0, 0.0)}

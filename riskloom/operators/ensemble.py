@@ -57,12 +57,27 @@ def working_scores(scores: DataFrame, screened: DataFrame) -> DataFrame:
 
 
 # -- E3 weights ----------------------------------------------------------------
-def strategy_weights(screened: DataFrame, model_info: DataFrame) -> DataFrame:
+def strategy_weights(screened: DataFrame, model_info: DataFrame, missing: str = "error",
+                     default_f1: float = 0.1, default_recall: float = 0.5) -> DataFrame:
     """(model_id, simple_average, f1_weighted, recall_weighted) for kept
-    models: 1/k, metric / sum(metric); a zero sum falls back to 1/k. A missing
-    metric is an error upstream (no silent default)."""
+    models: 1/k, metric / sum(metric); a zero sum falls back to 1/k.
+
+    A kept model without val_f1/val_recall is an error (``missing='error'``)
+    or gets the explicit defaults (``missing='default'``, the values the
+    reference's second optimiser falls back to, which make the weighted
+    strategies equal the simple average)."""
     kept = screened.where("keep").select("model_id").join(
-        model_info.select("model_id", "val_f1", "val_recall"), "model_id", "inner")
+        model_info.select("model_id", "val_f1", "val_recall"), "model_id", "left")
+    if missing == "error":
+        lacking = [r.model_id for r in kept.where(F.col("val_f1").isNull() | F.col("val_recall").isNull())
+                   .select("model_id").collect()]  # at most one row per model
+        if lacking:
+            raise ValueError(f"models without validation metrics: {sorted(lacking)}")
+    elif missing == "default":
+        kept = kept.withColumns({"val_f1": F.coalesce("val_f1", F.lit(float(default_f1))),
+                                 "val_recall": F.coalesce("val_recall", F.lit(float(default_recall)))})
+    else:
+        raise ValueError(missing)
     # sums run in model order (ordered full frame), so weights are the same
     # bits on every run and every retry
     w = Window.orderBy("model_id").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)

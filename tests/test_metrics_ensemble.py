@@ -106,3 +106,13 @@ def test_history_rollup_fixture(spark):
                for r in Q.history_rollup(df, chunk=chunk).collect()}
         assert got == {(1, 1): (10.0, 10, 1.0, 10.0), (1, 2): (10.0, 30, 3.0, 10.0),
                        (1, 3): (15.0, 60, 5.0, 12.0), (2, 1): (0.0, 5, 0.0, 0.0)}
+
+
+def test_missing_metrics_error_or_default(spark):
+    import pytest
+    screened = spark.createDataFrame([(1, True), (2, True)], "model_id int, keep boolean")
+    info = spark.createDataFrame([(1, 0.4, 0.6)], "model_id int, val_f1 double, val_recall double")
+    with pytest.raises(ValueError):
+        E.strategy_weights(screened, info)
+    w = {r.model_id: r for r in E.strategy_weights(screened, info, missing="default").collect()}
+    assert abs(w[2].f1_weighted - 0.1 / 0.5) < 1e-12 and abs(w[1].simple_average - 0.5) < 1e-12

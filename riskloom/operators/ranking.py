@@ -51,6 +51,8 @@ def sampled_range_bucket(df: DataFrame, part: str, value: str, buckets: int = 25
     """
     counts = {r[0]: r[1] for r in df.groupBy(part).count().collect()}  # one row per part value
     want = buckets * per_bucket
+    if all(n <= want for n in counts.values()):
+        return F.lit(0)  # every part is small: one bucket each, no sample needed
     fractions = {p: min(1.0, want / max(n, 1)) for p, n in counts.items()}
     samples: dict = {p: [] for p in counts}
     for r in df.select(part, value).sampleBy(part, fractions, seed).collect():  # ~want rows per part

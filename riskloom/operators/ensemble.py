@@ -69,10 +69,11 @@ def strategy_weights(screened: DataFrame, model_info: DataFrame, missing: str =
     kept = screened.where("keep").select("model_id").join(
         model_info.select("model_id", "val_f1", "val_recall"), "model_id", "left")
     if missing == "error":
-        lacking = [r.model_id for r in kept.where(F.col("val_f1").isNull() | F.col("val_recall").isNull())
-                   .select("model_id").collect()]  # at most one row per model
-        if lacking:
-            raise ValueError(f"models without validation metrics: {sorted(lacking)}")
+        # fails the job that reads the weights, without a separate pass
+        lacking = F.col("val_f1").isNull() | F.col("val_recall").isNull()
+        msg = F.concat(F.lit("model without validation metrics: "), F.col("model_id").cast("string"))
+        kept = kept.withColumns({c: F.when(lacking, F.raise_error(msg).cast("double")).otherwise(F.col(c))
+                                 for c in ("val_f1", "val_recall")})
     elif missing == "default":
         kept = kept.withColumns({"val_f1": F.coalesce("val_f1", F.lit(float(default_f1))),
                                  "val_recall": F.coalesce("val_recall", F.lit(float(default_recall)))})

@@ -112,7 +112,7 @@ def test_missing_metrics_error_or_default(spark):
     import pytest
     screened = spark.createDataFrame([(1, True), (2, True)], "model_id int, keep boolean")
     info = spark.createDataFrame([(1, 0.4, 0.6)], "model_id int, val_f1 double, val_recall double")
-    with pytest.raises(ValueError):
-        E.strategy_weights(screened, info)
+    with pytest.raises(Exception, match="without validation metrics"):
+        E.strategy_weights(screened, info).collect()
     w = {r.model_id: r for r in E.strategy_weights(screened, info, missing="default").collect()}
     assert abs(w[2].f1_weighted - 0.1 / 0.5) < 1e-12 and abs(w[1].simple_average - 0.5) < 1e-12

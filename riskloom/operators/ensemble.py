@@ -227,55 +227,39 @@ def _score(i: int, scores: str = "scores") -> Column:
     return F.element_at(F.col(scores), i + 1)
 
 
-def _explode_models(row: DataFrame, model_ids: list[int], fields: list[str]) -> DataFrame:
-    arms = [F.struct(F.lit(int(m)).alias("model_id"), *[F.col(f"{f}_{i}").alias(f) for f in fields])
-            for i, m in enumerate(model_ids)]
-    return row.select(F.explode(F.array(*arms)).alias("e")).select("e.*")
+def long_view(wide: DataFrame, model_ids: list[int], label: str = "y", scores: str = "scores") -> DataFrame:
+    """(row_id, model_id, score, y) from wide scores by posexplode: no shuffle.
+    Per-model statistics run on this view as ``groupBy(model_id)``, which
+    Spark combines map-side to at most one row per model per task."""
+    ids = F.array(*[F.lit(int(m)) for m in model_ids])
+    return wide.select("row_id", F.col(label).alias("y"), F.posexplode(scores).alias("__pos", "score")).select(
+        "row_id", F.element_at(ids, F.col("__pos") + 1).alias("model_id"), "score", "y")
 
 
 def confusion_wide(wide: DataFrame, model_ids: list[int], threshold: float = SCREEN_CUT, inclusive: bool = True,
                    label: str = "y", scores: str = "scores") -> DataFrame:
-    """(model_id, tn, fp, fn, tp) for every model in one aggregation."""
-    y = F.col(label)
-    aggs = []
-    for i in range(len(model_ids)):
-        d = decide(_score(i, scores), threshold, inclusive)
-        aggs += [F.count_if((d == 0) & (y == 0)).alias(f"tn_{i}"), F.count_if((d == 1) & (y == 0)).alias(f"fp_{i}"),
-                 F.count_if((d == 0) & (y == 1)).alias(f"fn_{i}"), F.count_if((d == 1) & (y == 1)).alias(f"tp_{i}")]
-    return _explode_models(wide.agg(*aggs), model_ids, ["tn", "fp", "fn", "tp"])
+    """(model_id, tn, fp, fn, tp) for every model."""
+    from riskloom.operators.metrics import confusion
+    lv = long_view(wide, model_ids, label, scores)
+    return confusion(lv.withColumn("__d", decide("score", threshold, inclusive)), "__d", "y", ["model_id"])
 
 
 def validation_metrics_wide(wide: DataFrame, model_ids: list[int], threshold: float = 0.5,
                             label: str = "y", scores: str = "scores") -> DataFrame:
     """A6 on wide scores: F1 / recall / precision per model at score > cut."""
-    c = confusion_wide(wide, model_ids, threshold, False, label, scores).withColumns(metric_columns())
-    return c.select("model_id", F.col("f1").alias("val_f1"), F.col("recall").alias("val_recall"),
-                    F.col("precision").alias("val_precision"))
+    from riskloom.operators.metrics import validation_metrics
+    return validation_metrics(long_view(wide, model_ids, label, scores), threshold)
 
 
 def score_range_wide(wide: DataFrame, model_ids: list[int], scores: str = "scores") -> DataFrame:
-    aggs = []
-    for i in range(len(model_ids)):
-        aggs += [F.min(_score(i, scores)).alias(f"min_score_{i}"), F.max(_score(i, scores)).alias(f"max_score_{i}")]
-    return _explode_models(wide.agg(*aggs), model_ids, ["min_score", "max_score"])
+    from riskloom.operators.metrics import score_range
+    return score_range(long_view(wide, model_ids, scores=scores))
 
 
 def screen_models_wide(wide: DataFrame, model_ids: list[int], model_info: DataFrame | None = None,
                        min_val_f1: float | None = 0.01, cut: float = SCREEN_CUT, scores: str = "scores") -> DataFrame:
     """E1 on wide scores (same output as ``screen_models``)."""
-    aggs = []
-    for i in range(len(model_ids)):
-        d = decide(_score(i, scores), cut)
-        aggs += [F.count_if(d == 1).alias(f"positives_{i}"), F.count_if(d == 0).alias(f"negatives_{i}")]
-    s = _explode_models(wide.agg(*aggs), model_ids, ["positives", "negatives"])
-    diverse = (F.col("positives") > 0) & (F.col("negatives") > 0)
-    if model_info is not None and min_val_f1 is not None:
-        s = s.join(F.broadcast(model_info.select("model_id", "val_f1")), "model_id", "left")
-        keep = diverse & F.coalesce(F.col("val_f1") > F.lit(float(min_val_f1)), F.lit(False))
-    else:
-        s = s.withColumn("val_f1", F.lit(None).cast("double"))
-        keep = diverse
-    return s.withColumn("keep", keep)
+    return screen_models(long_view(wide, model_ids, scores=scores), model_info, min_val_f1, cut)
 
 
 def combine_wide(wide: DataFrame, model_ids: list[int], weights: DataFrame, label: str = "y",

@@ -147,20 +147,22 @@ def fixed_sample(df: DataFrame, id_col: str, label: str, n: int, seed: int = DEF
     return seg.where(F.col("__seg") == 0).drop("__h", "__b", "__seg")
 
 
-def _quantile_bucket(df: DataFrame, col: str, buckets: int = 64):
-    """Monotone bucket of a numeric column from approximate quantiles
-    (``buckets`` values collected: a fixed bound)."""
+def quantile_buckets(df: DataFrame, col: str, out: str = "__b", buckets: int = 64) -> DataFrame:
+    """Add a monotone bucket of a numeric column: bounds are approximate
+    quantiles (``buckets`` values collected: a fixed bound), assigned by a
+    JVM binary search (Bucketizer)."""
+    from pyspark.ml.feature import Bucketizer
     qs = [i / buckets for i in range(1, buckets)]
     bounds = df.select(F.percentile_approx(F.col(col).cast("double"), qs, 10000).alias("q")).first()["q"] or []
-    bounds = sorted(set(bounds))
-    arr = F.array(*[F.lit(float(b)) for b in bounds]) if bounds else F.array().cast("array<double>")
-    return F.size(F.filter(arr, lambda b: b <= F.col(col).cast("double")))
+    splits = [-float("inf")] + sorted(set(bounds)) + [float("inf")]
+    x = df.withColumn("__x", F.col(col).cast("double"))
+    return Bucketizer(splits=splits, inputCol="__x", outputCol=out, handleInvalid="keep").transform(x).drop("__x")
 
 
 def positional_segments(df: DataFrame, order_col: str, cuts: list[int], name: str = "segment") -> DataFrame:
     """Segment of each row by its exact position under ``order_col`` (a
     unique key): position < cuts[0] -> 0, < cuts[1] -> 1, ..."""
-    d = df.withColumn("__all", F.lit(0)).withColumn("__b", _quantile_bucket(df, order_col))
+    d = quantile_buckets(df, order_col).withColumn("__all", F.lit(0))
     spark = df.sparkSession
     cut_df = spark.createDataFrame([tuple([0] + [int(c) for c in cuts])],
                                    ["__all"] + [f"cut_{i + 1}" for i in range(len(cuts))])

@@ -113,7 +113,18 @@ CONFIG = (f"(SELECT t.strategy, t.threshold, t.balanced_accuracy, t.f1, t.recall
 
 def all_sql() -> dict[str, str]:
     lab = "labels"
+    smote = (
+        "WITH t AS (SELECT CASE WHEN label = 0 THEN 1 ELSE 0 END AS y, row_number() OVER (ORDER BY vec_id) - 1 AS pos "
+        "FROM embeddings), "
+        "c AS (SELECT CAST(floor(pos / 200) + 1 AS BIGINT) AS session, count(*) AS n, sum(y) AS p FROM t GROUP BY 1), "
+        "g AS (SELECT *, CASE WHEN p <= n - p THEN 1 ELSE 0 END AS minority, least(p, n - p) AS m FROM c), "
+        "k AS (SELECT *, CASE WHEN CAST(p AS DOUBLE) / n < 0.3 AND m >= 2 "
+        "THEN CAST(trunc(CAST(n - m AS DOUBLE) * 0.3 - m) AS BIGINT) ELSE 0 END AS new FROM g) "
+        "SELECT session, 0 AS y, 0 AS synthetic, CAST(n - p AS BIGINT) AS n FROM k WHERE n - p > 0 UNION ALL "
+        "SELECT session, 1, 0, CAST(p AS BIGINT) FROM k WHERE p > 0 UNION ALL "
+        "SELECT session, minority, 1, new FROM k WHERE new > 0")
     return {
+        "oversample_counts": smote,
         "artefact_audit": (f"WITH o AS ({OBS_DAILY}), e AS (SELECT DISTINCT latitude, longitude FROM o), "
                            "days AS (SELECT CAST(unnest(generate_series((SELECT min(d) FROM o), (SELECT max(d) FROM o), "
                            "INTERVAL 1 DAY)) AS DATE) AS d) "

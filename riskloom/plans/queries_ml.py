@@ -46,6 +46,13 @@ def q_new_data_scores(spark, sf_dir):
     return T.score_new_data(spark, A.training_set(spark, sf_dir), path)
 
 
+def q_oversample_counts(spark, sf_dir):
+    """Rows per (session, class, synthetic) of the oversampler's real output."""
+    from riskloom.operators.oversample import smote_sessions
+    out = smote_sessions(A.training_set(spark, sf_dir), "row_id", "features", "y", per_session=200)
+    return out.groupBy("session", "y", "synthetic").agg(F.count(F.lit(1)).alias("n"))
+
+
 def q_minority_oversample(spark, sf_dir):
     from riskloom.operators.oversample import smote_sessions
     data = A.training_set(spark, sf_dir)
@@ -91,4 +98,5 @@ def registry() -> dict:
         "stacked_forest": q_stacked_forest,
         "new_data_scores": q_new_data_scores,
         "minority_oversample": q_minority_oversample,
+        "oversample_counts": q_oversample_counts,
     }

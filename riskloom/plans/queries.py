@@ -23,8 +23,8 @@ RAW = ["tmmx", "tmmn", "rmax", "rmin", "vpd", "vs", "erc", "bi", "fm100", "fm100
 LAGCHG = ["temp_lag1", "vpd_lag1", "humidity_lag1", "temp_change", "humidity_change", "vpd_change"]
 ROLL = ["temp_3day_avg", "temp_7day_avg", "vpd_3day_avg", "vpd_7day_avg", "humidity_3day_avg"]
 
-# Skew-safe window plan chunk width used by the flagship (days).
-FLAGSHIP_CHUNK_DAYS = 32
+# Flagship window plan: chosen from the largest entity's size ('auto').
+FLAGSHIP_CHUNK_DAYS = "auto"
 
 
 def _obs_parsed(spark, sf_dir):

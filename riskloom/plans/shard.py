@@ -24,7 +24,7 @@ N_MODELS = 12
 
 
 def prepare_vectors(obs: DataFrame, roles: Roles = Roles(), width: int = WIDTH, fit_on_all: bool = True,
-                    chunk_days: int | None = 32, id_col: str = "row_id",
+                    chunk_days: int | str | None = "auto", id_col: str = "row_id",
                     write_once: bool = True) -> tuple[DataFrame, list[str]]:
     """(row_id, features array<double>[width], y) plus the feature names.
 

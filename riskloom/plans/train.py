@@ -57,7 +57,7 @@ def train_ensemble(spark: SparkSession, data: DataFrame, preset: str = "fast", s
             "test_wide": test_wide, "val_scores": val_scores, "test_scores": test_scores, "model_info": info}
 
 
-def classical_vectors(obs: DataFrame, chunk_days: int | None = 32) -> tuple[DataFrame, list[str]]:
+def classical_vectors(obs: DataFrame, chunk_days: int | str | None = "auto") -> tuple[DataFrame, list[str]]:
     """Observations -> (row_id, features array<double>, y) the way the
     classical path prepares them: engineer, median-impute numeric columns,
     mode-impute text columns, label-encode text features, 0/1 target.

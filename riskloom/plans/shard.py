@@ -45,8 +45,10 @@ def prepare_vectors(obs: DataFrame, roles: Roles = Roles(), width: int = WIDTH,
         x = materialize(x, "engineered")
     if fit_on_all:
         x = apply_scaler(x, fit_scaler(x, feats), feats)
+    # float32 vectors, as the 64-wide path stores them (P6): half the bytes
+    # for the split table and every shard read
     vec = fit_width(F.transform(assemble_array(feats, "float"), lambda v: narrow_feature(v)), width)
-    return x.select(id_col, vec.alias("features"), "y"), feats
+    return x.select(id_col, vec.cast("array<float>").alias("features"), "y"), feats
 
 
 def model_shards(vectors: DataFrame, n_models: int = N_MODELS, id_col: str = "row_id",

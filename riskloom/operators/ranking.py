@@ -28,6 +28,38 @@ def hash_key(id_col, seed) -> Column:
     return F.md5(F.concat(seed_c.cast("string"), F.lit("-"), F.col(id_col).cast("string")))
 
 
+# 32-bit mixing constants (golden-ratio multiplier, finaliser
+# multiplier); every product stays below 2^63, so Spark and DuckDB compute
+# the same BIGINTs.
+GOLDEN32 = 2654435761
+MIX32 = 0x45D9F3B
+MOD32 = 1 << 32
+
+
+def row_key32(id_col, salt: str) -> Column:
+    """Unsigned 32-bit key from the first 8 hex digits of md5(salt-id)."""
+    h = F.md5(F.concat(F.lit(salt), F.lit("-"), F.col(id_col).cast("string")))
+    return F.conv(F.substring(h, 1, 8), 16, 10).cast("long")
+
+
+def mix32(x: Column, seed: Column) -> Column:
+    """Per-seed scramble of a 32-bit key: xor with a seed constant, then the
+    shift-multiply finaliser. A bijection on [0, 2^32) for every seed, so
+    each seed orders the rows differently from one md5 per row."""
+    mod = F.lit(MOD32)
+    h = x.bitwiseXOR((seed.cast("long") * F.lit(GOLDEN32)) % mod)
+    h = h.bitwiseXOR(F.shiftright(h, 16))
+    h = (h * F.lit(MIX32)) % mod
+    h = h.bitwiseXOR(F.shiftright(h, 16))
+    h = (h * F.lit(MIX32)) % mod
+    return h.bitwiseXOR(F.shiftright(h, 16))
+
+
+def key_bucket(h: Column, digits: int = 3) -> Column:
+    """Leading hex digits of a 32-bit key: monotone in the key."""
+    return F.shiftright(h, 32 - 4 * digits).cast("int")
+
+
 def hex_bucket(h: Column, digits: int = 3) -> Column:
     """Leading hex digits of a hash as a number: monotone in the hash order."""
     return F.conv(F.substring(h, 1, digits), 16, 10).cast("int")

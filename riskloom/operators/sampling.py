@@ -13,7 +13,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskloom.operators.ranking import assign_by_rank, hash_key, hex_bucket, largest_remainder
+from riskloom.operators.ranking import (assign_by_rank, hash_key, hex_bucket, key_bucket, largest_remainder,
+                                       mix32, row_key32)
 
 # Split presets (held-out ratio, second ratio, second applies to).
 PRESETS = {
@@ -98,6 +99,8 @@ def stratified_samples(df: DataFrame, id_col: str, label: str, split_col: str =
     ``fraction`` (default 1/n_models) of the split's rows, seed
     seed_base + m + offset(s). Samples overlap across models, as in the
     reference. Output: input rows x their (model_id) memberships, long form.
+    The per-model order is a 32-bit scramble (``mix32``) of one md5 key per
+    row, so each (row, model) pair costs integer arithmetic, not a digest.
 
     One scan builds the per-(model, split, class, bucket) counts; rows are
     then exploded per model and filtered in the same stage; only rows in a
@@ -121,9 +124,13 @@ def stratified_samples(df: DataFrame, id_col: str, label: str, split_col: str =
         return out
     off = F.coalesce(F.element_at(F.create_map(*[x for k, v in offsets.items() for x in (F.lit(k), F.lit(v))]),
                                   F.col(split_col)), F.lit(0))
-    ex = df.withColumn("model_id", F.explode(F.sequence(F.lit(1), F.lit(n_models))))
-    ex = ex.withColumn("__h", hash_key(id_col, (F.lit(seed_base) + F.col("model_id") + off).cast("string")))
-    ex = ex.withColumn("__b", hex_bucket(F.col("__h"), auto_digits(df, digits)))
+    # one md5 per row; each (row, model) pair only scrambles it with integer
+    # arithmetic (seed = seed_base + model + split offset)
+    d = auto_digits(df, digits)
+    ex = df.withColumn("__x", row_key32(id_col, f"{seed_base}s"))
+    ex = ex.withColumn("model_id", F.explode(F.sequence(F.lit(1), F.lit(n_models))))
+    ex = ex.withColumn("__h", mix32(F.col("__x"), F.lit(seed_base) + F.col("model_id") + off)).drop("__x")
+    ex = ex.withColumn("__b", key_bucket(F.col("__h"), d))
     part = ["model_id", split_col]
 
     def cuts(c):

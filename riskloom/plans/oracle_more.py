@@ -55,8 +55,15 @@ def samples_sql(table: str = "labels", id_col: str = "doc_id", cls: str = "toxic
          f"WHEN 'test' THEN 200 END AS off FROM {s} s, range(1, 13) m)")
     cnt = f"(SELECT model_id, split, {cls}, count(*) AS n FROM {x} c GROUP BY model_id, split, {cls})"
     q = f"(SELECT model_id, split, {cls}, n - kept AS cut FROM {lr(cnt, ['model_id', 'split'], cls, 'n', holdout(1.0 / 12), 'kept')} q0)"
+    # same scramble as ranking.mix32: one md5 per row, integer mixing per model
+    m32 = "4294967296"
+    k0 = (f"(SELECT *, xor(('0x' || substr(md5('42s-' || CAST({id_col} AS VARCHAR)), 1, 8))::BIGINT, "
+          f"((42 + model_id + off) * 2654435761) % {m32}) AS k0 FROM {x} y)")
+    k2 = f"(SELECT *, (xor(k0, k0 >> 16) * 73244475) % {m32} AS k2 FROM {k0} z0)"
+    k4 = f"(SELECT *, (xor(k2, k2 >> 16) * 73244475) % {m32} AS k4 FROM {k2} z2)"
+    kk = f"(SELECT *, xor(k4, k4 >> 16) AS kk FROM {k4} z4)"
     rk = (f"(SELECT {id_col}, {cls}, split, model_id, row_number() OVER (PARTITION BY model_id, split, {cls} ORDER BY "
-          f"md5(CAST(42 + model_id + off AS VARCHAR) || '-' || CAST({id_col} AS VARCHAR)), {id_col}) AS rk FROM {x} y)")
+          f"kk, {id_col}) AS rk FROM {kk} y2)")
     return (f"SELECT r.{id_col}, r.{cls}, r.split, r.model_id{extra} FROM {rk} r JOIN {q} q USING (model_id, split, {cls}) "
             f"WHERE rk <= cut")
 

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskloom.operators import models as L
-from riskloom.operators.ensemble import combine_scores, screen_models_wide, strategy_weights
+from riskloom.operators.ensemble import screen_models_wide
 from riskloom.operators.metrics import validation_metrics
 from riskloom.operators.sampling import half_split, stratified_split
 from riskloom.session import materialize
@@ -156,5 +156,5 @@ def score_new_data(spark: SparkSession, data: DataFrame, path: str, threshold: f
                        F.coalesce(s >= F.lit(float(threshold)), F.lit(False)).cast("int").alias("decision"))
 
 
-__all__ = ["train_ensemble", "logistic_stack", "forest_stack", "save_artefacts", "score_new_data",
-           "combine_scores", "strategy_weights"]
+__all__ = ["train_ensemble", "classical_vectors", "logistic_stack", "forest_stack", "strategy_report",
+           "save_artefacts", "score_new_data"]

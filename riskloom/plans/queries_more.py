@@ -3,8 +3,6 @@ selection (Spark side). Oracle SQL lives in ``oracle_more``."""
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from riskloom.functions import scalar as S
 from riskloom.operators import prepare as M
 from riskloom.operators import sampling as B
@@ -124,5 +122,3 @@ def registry() -> dict:
     out.update(queries_ml.registry())
     return out
 
-
-__all__ = ["registry", "F"]

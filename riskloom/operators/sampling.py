@@ -32,9 +32,12 @@ def auto_digits(df: DataFrame, digits: int | None) -> int:
     3 digits up to ~10^7 rows, 5 at 10^12."""
     if digits is not None:
         return digits
+    return digits_for(df.count())
+
+
+def digits_for(n: int) -> int:
     import math
-    n = max(df.count(), 1)
-    return int(max(3, min(6, math.ceil(math.log(n, 16) / 2))))
+    return int(max(3, min(6, math.ceil(math.log(max(n, 1), 16) / 2))))
 
 
 def _class_counts(df, part, label):

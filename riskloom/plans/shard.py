@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from riskloom.functions.scalar import assemble_array, bool_target, fit_width, narrow_feature, narrow_target
 from riskloom.operators.prepare import apply_scaler, fit_scaler
-from riskloom.operators.sampling import stratified_samples, stratified_split
+from riskloom.operators.sampling import digits_for, stratified_samples, stratified_split
 from riskloom.plans.engineer import engineer_features, feature_columns
 from riskloom.schema import Roles, require_columns
 from riskloom.session import materialize
@@ -56,9 +56,11 @@ def prepare_vectors(obs: DataFrame, roles: Roles = Roles(), width: int = WIDTH,
 
 def model_shards(vectors: DataFrame, n_models: int = N_MODELS, id_col: str = "row_id",
                  split_preset: str = "70/15/15") -> DataFrame:
-    # written once: the per-model sampling reads the split several times
-    s = materialize(stratified_split(vectors, id_col, "y", split_preset), "splits")
-    return stratified_samples(s, id_col, "y", "split", n_models=n_models)
+    # written once: the per-model sampling reads the split several times;
+    # both steps see the same row count, so the bucket width is chosen once
+    d = digits_for(vectors.count())
+    s = materialize(stratified_split(vectors, id_col, "y", split_preset, digits=d), "splits")
+    return stratified_samples(s, id_col, "y", "split", n_models=n_models, digits=d)
 
 
 def write_model_shards(shards: DataFrame, path: str) -> None:

@@ -153,6 +153,7 @@ def all_sql() -> dict[str, str]:
         "lags_changes": q_lags_changes(),
         "filled_lags": q_filled_lags(),
         "engineered_table": q_engineered_table(),
+        "engineered_table_chunked": q_engineered_table(),
     }
     from riskloom.plans import oracle_more
     out.update(oracle_more.all_sql())

@@ -70,8 +70,16 @@ def q_engineered_table(spark, sf_dir):
                             *WINDOW_FEATURES))
 
 
+def q_engineered_table_chunked(spark, sf_dir):
+    """The flagship with the skew-safe plan forced (32-day chunks)."""
+    e = engineered(spark, sf_dir, chunk_days=32)
+    return rounded(e.select(*KEYS, "d", "datetime", *RAW, "wildfire", *ROW_FEATURES, *SEASON_FEATURES,
+                            *WINDOW_FEATURES))
+
+
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     out = {
+        "engineered_table_chunked": q_engineered_table_chunked,
         "row_features": q_row_features,
         "season_features": q_season_features,
         "rolling_means": q_rolling_means,

@@ -84,6 +84,26 @@ def materialize(df, name: str = "table"):
     return spark.read.parquet(path)
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors (once per application), so that
+    functions run by ``mapInPandas`` and the like can be unpickled there even
+    when the package is only on the driver's ``sys.path``."""
+    import zipfile
+    sc = spark.sparkContext
+    if getattr(sc, "_riskloom_shipped", False):
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    path = os.path.join(tempfile.mkdtemp(prefix="riskloom-ship-"), "riskloom.zip")
+    with zipfile.ZipFile(path, "w") as z:
+        for folder, _, names in os.walk(root):
+            for name in names:
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    z.write(full, os.path.relpath(full, os.path.dirname(root)))
+    sc.addPyFile(path)  # Spark serves the file to every executor
+    sc._riskloom_shipped = True
+
+
 def scale_conf(shuffle_bytes: int, total_cores: int, target_bytes: int = 256 << 20) -> dict:
     """Partition sizing for a cluster run: about ``target_bytes`` per shuffle
     partition (fits executor memory without spilling much), never fewer than

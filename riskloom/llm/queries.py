@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from riskloom.llm import knn, sharding
+from riskloom.llm import knn, packing, sharding
 from riskloom.llm.common import table
 
 SHARDS = [f"shard-{i:03d}" for i in range(64)]
@@ -16,6 +17,10 @@ def op2_maglev_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.place(table(spark, sf_dir, "documents"), SHARDS).select("doc_id", "slot", "shard")
 
 
+def op3_min_bin_slack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def op10_block_knn(spark: SparkSession, sf_dir: str) -> DataFrame:
     return knn.nearest(table(spark, sf_dir, "embeddings"))
 
@@ -23,6 +28,7 @@ def op10_block_knn(spark: SparkSession, sf_dir: str) -> DataFrame:
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_maglev_shards": op2_maglev_shards,
+        "op3_min_bin_slack": op3_min_bin_slack,
         "op10_block_knn": op10_block_knn,
     }
 

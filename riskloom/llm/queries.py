@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from riskloom.llm import knn, packing, sharding
+from riskloom.llm import knn, outliers, packing, secrets, sharding
 from riskloom.llm.common import table
 
 SHARDS = [f"shard-{i:03d}" for i in range(64)]
@@ -21,6 +21,14 @@ def op3_min_bin_slack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op4_blob_ledger_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.secret_scan(table(spark, sf_dir, "documents"))
+
+
+def op6_robust_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return outliers.judge(table(spark, sf_dir, "documents"))
+
+
 def op10_block_knn(spark: SparkSession, sf_dir: str) -> DataFrame:
     return knn.nearest(table(spark, sf_dir, "embeddings"))
 
@@ -29,9 +37,13 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_maglev_shards": op2_maglev_shards,
         "op3_min_bin_slack": op3_min_bin_slack,
+        "op4_blob_ledger_secrets": op4_blob_ledger_secrets,
+        "op6_robust_outliers": op6_robust_outliers,
         "op10_block_knn": op10_block_knn,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "op4_blob_ledger_secrets": secrets.oracle(),
+    }

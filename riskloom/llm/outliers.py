@@ -35,7 +35,7 @@ BLANKS = " \t\n\v\f\r"      # fixed
 SUBSET = 0.75               # share of a group that the determinant is taken over
 STEPS = 4                   # concentration steps
 MIN_GROUP = 200             # smaller groups of a language are fitted together
-TAIL = 1e-7                 # share of clean normal vectors beyond the cut
+TAIL = 1e-4                 # share of clean normal vectors beyond the cut
 
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words")
 

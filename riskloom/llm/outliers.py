@@ -161,7 +161,7 @@ def _nearest_share(near: DataFrame, share: float) -> DataFrame:
     group = Window.partitionBy("lang", "pool")
     below = F.sum("in_bin").over(group.orderBy("bin")) - F.col("in_bin")
     kept = per_bin.withColumn("below", below).withColumn("all", F.sum("in_bin").over(group))
-    last = kept.filter(F.col("below") < share * F.col("all")).groupBy("lang", "pool").agg(F.max("bin").alias("last"))
+    last = stored(kept.filter(F.col("below") < share * F.col("all")).groupBy("lang", "pool").agg(F.max("bin").alias("last")), "last")
     return binned.join(last, ["lang", "pool"]).filter(F.col("bin") <= F.col("last"))
 
 
@@ -174,12 +174,13 @@ def vectors(stats: DataFrame) -> DataFrame:
     """
     named = stats.withColumns({"lang": F.coalesce(F.concat(F.lit("="), "lang"), F.lit("-")),
                                "source": F.coalesce(F.concat(F.lit("="), "source"), F.lit("-"))})
-    sizes = named.groupBy("lang", "source").agg(F.count(F.when(~F.col("base_failed"), 1)).alias("size"))
+    # tables of one row a group are stored, so that their size is known and Spark broadcasts them if small
+    sizes = stored(named.groupBy("lang", "source").agg(F.count(F.when(~F.col("base_failed"), 1)).alias("size")), "sizes")
     pool = F.when(F.col("size") >= MIN_GROUP, F.col("source")).otherwise(F.lit("*"))
     pooled = named.join(sizes.select("lang", "source", pool.alias("pool")), ["lang", "source"])
     rate = [F.col(a) / F.greatest(F.col(b), F.lit(1)) for a, b, *_ in RATES]
-    usual = pooled.groupBy("lang", "pool").agg(
-        *[F.coalesce(F.percentile_approx(F.when(~F.col("base_failed"), r), 0.5), F.lit(0.0)).alias(f"r{i}") for i, r in enumerate(rate)])
+    usual = stored(pooled.groupBy("lang", "pool").agg(
+        *[F.coalesce(F.percentile_approx(F.when(~F.col("base_failed"), r), 0.5), F.lit(0.0)).alias(f"r{i}") for i, r in enumerate(rate)]), "usual")
     made = {}
     for i, (a, b, weight, how, _) in enumerate(RATES):
         shrunk = (F.col(a) + weight * F.col(f"r{i}")) / (F.col(b) + weight)
@@ -190,7 +191,8 @@ def vectors(stats: DataFrame) -> DataFrame:
 def fit(rows: DataFrame) -> DataFrame:
     """Reweighted minimum-covariance-determinant location and inverse covariance of each group."""
     used = rows.filter(~F.col("base_failed")).select("lang", "pool", *[f"x{i}" for i in range(DIM)])
-    middle = used.groupBy("lang", "pool").agg(*[F.percentile_approx(f"x{i}", 0.5, 10_000).alias(f"m{i}") for i in range(DIM)])
+    middle = stored(used.groupBy("lang", "pool").agg(
+        *[F.percentile_approx(f"x{i}", 0.5, 10_000).alias(f"m{i}") for i in range(DIM)]), "middle")
     spread = used.join(middle, ["lang", "pool"]).groupBy("lang", "pool").agg(
         *[F.first(f"m{i}").alias(f"m{i}") for i in range(DIM)],
         *[F.percentile_approx(F.abs(F.col(f"x{i}") - F.col(f"m{i}")), 0.5, 10_000).alias(f"d{i}") for i in range(DIM)])

@@ -20,6 +20,7 @@ import re
 import zlib
 from collections import Counter
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -44,11 +45,12 @@ class Encoder:
 
     The vocabulary's rules never join a lone space or newline between two
     non-space characters to what stands before it, so a text may be cut there
-    and each part encoded alone; parts recur, and their ids are remembered.
+    and each part encoded alone; parts recur, and their ids are remembered,
+    under the part without its leading space or with its leading newline.
     """
 
     _cut = re.compile(r"(?<=\S)(?=[ \n]\S)")
-    _other_space = re.compile(r"[^\S \n]")
+    _other_space = [chr(c) for c in range(0x3001) if chr(c).isspace() and chr(c) not in " \n"]
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -57,55 +59,54 @@ class Encoder:
         self.known: dict[str, bytes] = {}
         (self.newline,) = self.tokenizer.encode("\n", add_special_tokens=False).ids
 
-    def parts(self, text: str) -> list[str]:
+    def parts(self, text: str) -> tuple[str, list[str]]:
+        """A beginning to be encoded by itself, and the parts after it."""
         spaced = text.replace("\n", " \n")
-        if ("  " in spaced or "\n " in spaced or "\n\n" in text or text[:1] in " \n" or text[-1:] in " \n"
-                or self._other_space.search(text)):
-            return self._cut.split(text)
-        # "a b\nc" -> "a", " b", "\nc"
+        if ("  " in spaced or "\n " in spaced or text[0] in " \n" or text[-1] in " \n"
+                or any(c in text for c in self._other_space)):
+            first, *rest = self._cut.split(text)
+            return first, [p[1:] if p[0] == " " else p for p in rest]
         first, *rest = spaced.split(" ")
-        return [first, *[p if p[0] == "\n" else " " + p for p in rest]]
-
-    @staticmethod
-    def atoms(part: str) -> list[str]:
-        """A part without its leading newline and a mark after a plain letter:
-        both are tokens of their own, and what is left recurs more often."""
-        before, after = [], []
-        if part[0] == "\n" and len(part) > 1 and not part[1].isspace():
-            before, part = ["\n"], part[1:]
-        if len(part) > 2 and part[-1] in ".,;:!?" and part[-2].isascii() and part[-2].isalpha():
-            part, after = part[:-1], [part[-1]]
-        return [*before, part, *after]
+        return first, rest
+
+    def direct(self, texts: list[str]) -> list[bytes]:
+        coded = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        return [np.array(c.ids, dtype="<u4").tobytes() for c in coded]
 
     def learn(self, new: set[str]) -> None:
         """Encode parts that are not known yet."""
-        made = {p: self.atoms(p) for p in new}
-        todo = {a for atoms in made.values() for a in atoms if a not in self.known}
-        # a word with no space but a leading one: many go in a call, set apart by newlines
-        plain = [a for a in todo if len(a.split()) == 1 and (a[0] == " " or not a[0].isspace())
-                 and not a[-1].isspace() and len(a) - len(a.split()[0]) == (a[0] == " ")]
+        # A leading newline is a token of its own; so is a mark after a plain
+        # letter at the end. What is left recurs more often.
+        made = {}
+        for p in new:
+            line = p[0] == "\n" and len(p) > 1 and not p[1].isspace()
+            text = p[1:] if line else p if p[0] == "\n" else " " + p
+            mark = p[-1] if len(p) > 3 and p[-1] in ".,;:!?" and p[-2].isascii() and p[-2].isalpha() else ""
+            made[p] = ("\n" if line else "", text[:len(text) - len(mark)], mark)
+        todo = {t for _, t, _ in made.values()} | set("\n.,;:!?")
+        # words with no space but a leading one go together, set apart by newlines
+        plain = [t for t in todo if len(w := t.split()) == 1 and t.lstrip(" ") == w[0] and t.rfind(" ") <= 0]
         odd = list(todo.difference(plain))
-        for part, coded in zip(odd, self.tokenizer.encode_batch_fast(odd, add_special_tokens=False)):
-            self.known[part] = np.array(coded.ids, dtype="<u4").tobytes()
+        ids = dict(zip(odd, self.direct(odd)))
         calls = [plain[at:at + 1000] for at in range(0, len(plain), 1000)]
-        for words, coded in zip(calls, self.tokenizer.encode_batch_fast(["\n".join(w) for w in calls],
-                                                                        add_special_tokens=False)):
-            flat = np.array(coded.ids, dtype="<u4")
-            raw, cuts = flat.tobytes(), np.flatnonzero(flat == self.newline).tolist()
-            for word, x, y in zip(words, [0, *(c + 1 for c in cuts)], [*cuts, len(flat)]):
-                self.known[word] = raw[4 * x:4 * y]
-        for part, atoms in made.items():
-            self.known[part] = b"".join(map(self.known.__getitem__, atoms))
+        for words, raw in zip(calls, self.direct(["\n".join(w) for w in calls])):
+            cuts = np.flatnonzero(np.frombuffer(raw, dtype="<u4") == self.newline).tolist()
+            for word, x, y in zip(words, [0, *(c + 1 for c in cuts)], [*cuts, len(raw) // 4]):
+                ids[word] = raw[4 * x:4 * y]
+        ids[""] = b""
+        for p, (line, text, mark) in made.items():
+            self.known[p] = ids[line] + ids[text] + ids[mark]
 
     def encode(self, texts: list[str]) -> Iterator[bytes]:
-        cut = [self.parts(t) if t else [] for t in texts]
-        new = {p for parts in cut for p in parts if p not in self.known}
+        cut = [self.parts(t) if t else ("", []) for t in texts]
+        wanted = set(chain.from_iterable(rest for _, rest in cut))
+        new = wanted.difference(self.known)
         if len(self.known) + len(new) > WORDS_KEPT:
-            self.known = {}
-            new = {p for parts in cut for p in parts}
+            self.known, new = {}, wanted
         self.learn(new)
-        for parts in cut:
-            yield b"".join(map(self.known.__getitem__, parts))
+        known = self.known.__getitem__
+        for begun, (_, rest) in zip(self.direct([first for first, _ in cut]), cut):
+            yield begun + b"".join(map(known, rest))
 
 
 def cut_points(length: int, capacity: int) -> list[int]:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from riskloom.llm import knn, lines, outliers, packing, secrets, sharding
+from riskloom.llm import knn, lines, outliers, packing, pathjoin, secrets, sharding
 from riskloom.llm.common import table
 
 SHARDS = [f"shard-{i:03d}" for i in range(64)]
@@ -29,6 +29,10 @@ def op6_robust_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return outliers.judge(table(spark, sf_dir, "documents"))
 
 
+def op7_chosen_path_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pathjoin.join_documents(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "links")
+
+
 def op9_fuzzy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.line_classes(table(spark, sf_dir, "documents")).select("doc_id", "line", "component", "kept")
 
@@ -43,6 +47,7 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_min_bin_slack": op3_min_bin_slack,
         "op4_blob_ledger_secrets": op4_blob_ledger_secrets,
         "op6_robust_outliers": op6_robust_outliers,
+        "op7_chosen_path_join": op7_chosen_path_join,
         "op9_fuzzy_lines": op9_fuzzy_lines,
         "op10_block_knn": op10_block_knn,
     }

@@ -7,12 +7,17 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from riskloom.llm import knn, lines, outliers, packing, pathjoin, secrets, sharding
+from riskloom.llm import cotrain, knn, lines, outliers, packing, pathjoin, secrets, sharding
 from riskloom.llm.common import table
 
 SHARDS = [f"shard-{i:03d}" for i in range(64)]
 
 
+def op1_cotraining_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = cotrain.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return scored.selectExpr("doc_id", "_p_text AS p_text", "_p_meta AS p_meta", "_score AS score", "_keep AS kept")
+
+
 def op2_maglev_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.place(table(spark, sf_dir, "documents"), SHARDS).select("doc_id", "slot", "shard")
 
@@ -43,6 +48,7 @@ def op10_block_knn(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_cotraining_quality": op1_cotraining_quality,
         "op2_maglev_shards": op2_maglev_shards,
         "op3_min_bin_slack": op3_min_bin_slack,
         "op4_blob_ledger_secrets": op4_blob_ledger_secrets,

@@ -35,7 +35,7 @@ SURE = 0.97         # calibrated probability from which a view's opinion is pass
 TRUST = 0.3         # weight of a pseudo-label
 HELD_OUT = 5        # one in so many labelled documents calibrates and combines the views
 RIDGE = 1.0
-KEEP = 0.5          # documents of this score or more are kept
+KEEP = 0.2          # documents of this score or more are kept
 SLOTS = 128
 WORD_BUCKETS = 40
 SOURCE_BUCKETS = 32

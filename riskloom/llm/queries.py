@@ -7,7 +7,9 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from riskloom.llm import cotrain, knn, lines, outliers, packing, pathjoin, secrets, sharding
+import corpus_pipeline
+
+from riskloom.llm import cotrain, knn, lines, mixing, outliers, packing, pathjoin, secrets, sharding
 from riskloom.llm.common import table
 
 SHARDS = [f"shard-{i:03d}" for i in range(64)]
@@ -30,6 +32,11 @@ def op4_blob_ledger_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secret_scan(table(spark, sf_dir, "documents"))
 
 
+def op5_soft_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return mixed.drop("d1", "d2")
+
+
 def op6_robust_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return outliers.judge(table(spark, sf_dir, "documents"))
 
@@ -48,10 +55,12 @@ def op10_block_knn(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "pipeline": corpus_pipeline.run,
         "op1_cotraining_quality": op1_cotraining_quality,
         "op2_maglev_shards": op2_maglev_shards,
         "op3_min_bin_slack": op3_min_bin_slack,
         "op4_blob_ledger_secrets": op4_blob_ledger_secrets,
+        "op5_soft_mixing": op5_soft_mixing,
         "op6_robust_outliers": op6_robust_outliers,
         "op7_chosen_path_join": op7_chosen_path_join,
         "op9_fuzzy_lines": op9_fuzzy_lines,

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
 
-from riskloom.llm import cotrain, knn, lines, mixing, outliers, packing, pathjoin, secrets, sharding
+from riskloom.llm import cotrain, knn, lines, mixing, outliers, packing, paragraphs, pathjoin, secrets, sharding
 from riskloom.llm.common import table
 
 SHARDS = [f"shard-{i:03d}" for i in range(64)]
@@ -45,6 +45,10 @@ def op7_chosen_path_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pathjoin.join_documents(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "links")
 
 
+def op8_paragraph_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return paragraphs.repeated_passages(table(spark, sf_dir, "documents")).drop("d1")
+
+
 def op9_fuzzy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.line_classes(table(spark, sf_dir, "documents")).select("doc_id", "line", "component", "kept")
 
@@ -63,6 +67,7 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_soft_mixing": op5_soft_mixing,
         "op6_robust_outliers": op6_robust_outliers,
         "op7_chosen_path_join": op7_chosen_path_join,
+        "op8_paragraph_minhash": op8_paragraph_minhash,
         "op9_fuzzy_lines": op9_fuzzy_lines,
         "op10_block_knn": op10_block_knn,
     }

@@ -8,10 +8,9 @@ import xxhash
 
 SHINGLE = 5   # words
 HASHES = 64   # MinHash functions
-_PRIME = np.uint64(0x9E3779B97F4A7C15)
 _rng = np.random.default_rng(20240229)
 _ODD = _rng.integers(1, 2**63, HASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_PLACE = _rng.integers(1, 2**63, SHINGLE, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_PLACE = _rng.integers(1, 2**63, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
 class _Words(dict):
@@ -41,13 +40,13 @@ def word_hashes(text: str | None) -> np.ndarray:
 
 
 def window_hashes(words: np.ndarray, size: int = SHINGLE) -> np.ndarray:
-    """One hash for each run of ``size`` words; fewer words are one run."""
+    """One hash for each run of ``size`` (64 at most) words; fewer words are one run."""
     size = min(size, len(words))
     if not size:
         return np.empty(0, np.uint64)
     total = np.zeros(len(words) - size + 1, np.uint64)
     for i in range(size):
-        total += words[i:len(words) - size + 1 + i] * _PLACE[i % SHINGLE] * (_PRIME if i >= SHINGLE else np.uint64(1)) + np.uint64(i)
+        total += words[i:len(words) - size + 1 + i] * _PLACE[i]
     return mix(total + np.uint64(size))
 
 

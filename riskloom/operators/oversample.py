@@ -18,7 +18,8 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.operators.ranking import rank_in_buckets
+from riskloom.operators.ranking import rank_in_buckets, sampled_range_bucket
+from riskloom.session import ship_package
 
 # Gate on the positive share, target minority/majority ratio,
 # neighbours, seed.
@@ -38,7 +39,10 @@ def positional_index(df: DataFrame, order_col: str, name: str = "position",
     how even the buckets are."""
     n = df.count()
     b = int(min(MAX_BUCKETS, max(1, -(-n // rows_per_bucket))))
-    if b > 1:
+    if b > 1 and dict(df.dtypes)[order_col] == "string":
+        d = df.withColumn("__all", F.lit(0))
+        d = d.withColumn("__b", sampled_range_bucket(d, "__all", order_col, buckets=b)).drop("__all")
+    elif b > 1:
         qs = [i / b for i in range(1, b)]
         bounds = df.select(F.percentile_approx(F.col(order_col).cast("double"), qs, 10000)).first()[0]
         splits = [-float("inf")] + sorted(set(bounds)) + [float("inf")]
@@ -103,10 +107,11 @@ def smote_sessions(df: DataFrame, id_col: str, feat_col: str, label: str, per_se
                    seed: int = SEED) -> DataFrame:
     """Rows of every session plus synthetic minority rows (``synthetic`` = 1;
     their ``row_id`` is the base row they were interpolated from)."""
+    ship_package(df.sparkSession)
     pos = positional_index(df.select(id_col, feat_col, label), id_col)
     s = pos.select(id_col, (F.floor(F.col("position") / per_session) + 1).cast("long").alias("session"),
                    F.col(feat_col).cast("array<double>").alias(feat_col), F.col(label).cast("int").alias(label))
-    schema = f"{id_col} long, session long, {feat_col} array<double>, {label} int, synthetic int"
+    schema = f"{id_col} {dict(df.dtypes)[id_col]}, session long, {feat_col} array<double>, {label} int, synthetic int"
 
     def fn(pdf):
         return smote_group(pdf, id_col, feat_col, label, gate_share, target_ratio, k, seed)

@@ -23,9 +23,21 @@ from pyspark.sql import functions as F
 
 
 def hash_key(id_col, seed) -> Column:
-    """md5(seed || '-' || id): the same hex string in Spark and DuckDB."""
+    """md5(seed || '-' || id): the same hex string in Spark and DuckDB. Rows
+    with a null id share the key of the text 'null' and are interchangeable."""
     seed_c = seed if isinstance(seed, Column) else F.lit(str(seed))
-    return F.md5(F.concat(seed_c.cast("string"), F.lit("-"), F.col(id_col).cast("string")))
+    return F.md5(F.concat(seed_c.cast("string"), F.lit("-"), F.coalesce(F.col(id_col).cast("string"), F.lit("null"))))
+
+
+def join_null_safe(left: DataFrame, right: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
+    """Equi-join in which a null key matches a null key; keeps the left keys."""
+    named = {c: f"__on_{c}" for c in on}
+    r = right.withColumnsRenamed(named)
+    cond = None
+    for c in on:
+        one = F.col(c).eqNullSafe(F.col(named[c]))
+        cond = one if cond is None else cond & one
+    return left.join(r, cond, how).drop(*named.values())
 
 
 # 32-bit mixing constants (golden-ratio multiplier, finaliser
@@ -38,7 +50,7 @@ MOD32 = 1 << 32
 
 def row_key32(id_col, salt: str) -> Column:
     """Unsigned 32-bit key from the first 8 hex digits of md5(salt-id)."""
-    h = F.md5(F.concat(F.lit(salt), F.lit("-"), F.col(id_col).cast("string")))
+    h = F.md5(F.concat(F.lit(salt), F.lit("-"), F.coalesce(F.col(id_col).cast("string"), F.lit("null"))))
     return F.conv(F.substring(h, 1, 8), 16, 10).cast("long")
 
 
@@ -65,13 +77,6 @@ def hex_bucket(h: Column, digits: int = 3) -> Column:
     return F.conv(F.substring(h, 1, digits), 16, 10).cast("int")
 
 
-def text_bucket(c: Column) -> Column:
-    """Monotone bucket for text under binary (code point) order: first two code points."""
-    c1 = F.coalesce(F.ascii(F.substring(c, 1, 1)), F.lit(0)).cast("long")
-    c2 = F.coalesce(F.ascii(F.substring(c, 2, 1)), F.lit(0)).cast("long")
-    return c1 * F.lit(0x110000) + c2
-
-
 def sampled_range_bucket(df: DataFrame, part: str, value: str, buckets: int = 256, per_bucket: int = 20,
                          seed: int = 42) -> Column:
     """Monotone bucket for any orderable column: boundaries are quantiles of
@@ -113,7 +118,7 @@ def rank_in_buckets(df: DataFrame, part: list[str], bucket: str, order: list, na
     offs = bucket_offsets(df, part, bucket).drop("__n")
     w = Window.partitionBy(*part, bucket).orderBy(*order)
     ranked = df.withColumn("__lr", F.row_number().over(w))
-    return (ranked.join(offs, on=[*part, bucket], how="inner")
+    return (join_null_safe(ranked, offs, [*part, bucket])
             .withColumn(name, F.col("__start") + F.col("__lr")).drop("__start", "__lr"))
 
 
@@ -135,7 +140,7 @@ def assign_by_rank(df: DataFrame, part: list[str], bucket: str, order: list, cut
     cut_cols = [f"cut_{i}" for i in range(1, n_cuts + 1)]
     # a cut splits a bucket when start < cut < end; otherwise the whole
     # bucket lies on one side of it
-    bounds = offs.join(F.broadcast(cuts), on=part, how="inner")
+    bounds = join_null_safe(offs, F.broadcast(cuts), part)
     marks = []
     for c in cut_cols:
         hit = (F.col("__start") < F.col(c)) & (F.col(c) < F.col("__end"))
@@ -146,7 +151,8 @@ def assign_by_rank(df: DataFrame, part: list[str], bucket: str, order: list, cut
     btab = per_bucket.select(*part, bucket, "__start", *cut_cols,
                              F.greatest(*[F.col(f"__hit_{i}").isNotNull() for i in range(n_cuts)]).alias("__edge")
                              if n_cuts > 1 else F.col("__hit_0").isNotNull().alias("__edge"))
-    j = df.join(btab, on=[*part, bucket], how="inner")
+    # a null class or bucket is a group like any other: no row is lost
+    j = join_null_safe(df, btab, [*part, bucket])
     # non-edge bucket: every rank r in (start, end] exceeds exactly the cuts c <= start
     seg_plain = sum((F.when(F.col(c) <= F.col("__start"), 1).otherwise(0) for c in cut_cols), F.lit(0))
     plain = j.where(~F.col("__edge")).withColumn(name, seg_plain)
@@ -174,7 +180,7 @@ def largest_remainder(counts: DataFrame, part: list[str], cls: str, n_col: str,
     exact = F.col(n_col).cast("double") / F.col("__tot").cast("double") * F.col("__want").cast("double")
     c = c.withColumn("__fl", F.floor(exact).cast("long")).withColumn("__rem", exact - F.floor(exact))
     c = c.withColumn("__left", F.col("__want") - F.sum("__fl").over(wp))
-    wr = Window.partitionBy(*part).orderBy(F.col("__rem").desc(), F.col(cls).asc())
+    wr = Window.partitionBy(*part).orderBy(F.col("__rem").desc(), F.col(cls).asc_nulls_last())
     c = c.withColumn("__rr", F.row_number().over(wr))
     c = c.withColumn(name, F.col("__fl") + F.when(F.col("__rr") <= F.col("__left"), 1).otherwise(0))
     return c.drop("__tot", "__want", "__fl", "__rem", "__left", "__rr")

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskloom.operators.ranking import (assign_by_rank, hash_key, hex_bucket, key_bucket, largest_remainder,
-                                       mix32, row_key32)
+                                       mix32, row_key32, sampled_range_bucket)
 
 # Split presets (held-out ratio, second ratio, second applies to).
 PRESETS = {
@@ -40,10 +40,6 @@ def digits_for(n: int) -> int:
     return int(max(3, min(6, math.ceil(math.log(max(n, 1), 16) / 2))))
 
 
-def _class_counts(df, part, label):
-    return df.groupBy(*part, label).agg(F.count(F.lit(1)).alias("__nc"))
-
-
 def _holdout_quota(counts, part, label, n_col, ratio, name):
     """held-out rows per class: n_c - largest_remainder(n - ceil(ratio*n))."""
     tot = F.sum(n_col).over(Window.partitionBy(*part))
@@ -52,14 +48,9 @@ def _holdout_quota(counts, part, label, n_col, ratio, name):
     return kept.withColumn(name, F.col(n_col) - F.col("__kept")).drop("__kept")
 
 
-def split_quotas(df: DataFrame, label: str, preset: str = "60/20/20", part: list[str] | None = None) -> DataFrame:
-    """Per class: cut_1 = test rows, cut_2 = test + val rows."""
-    return split_quotas_from_counts(_class_counts(df, part or [], label), label, preset, part)
-
-
 def split_quotas_from_counts(c: DataFrame, label: str, preset: str = "60/20/20",
                              part: list[str] | None = None) -> DataFrame:
-    """Same, from a (part..., label, __nc) counts table."""
+    """Per class of a (part..., label, __nc) counts table: cut_1 = test rows, cut_2 = test + val rows."""
     part = part or []
     r1, r2, where = PRESETS[preset]
     c = _holdout_quota(c, part, label, "__nc", r1, "__h1")
@@ -157,7 +148,7 @@ def fixed_sample(df: DataFrame, id_col: str, label: str, n: int, seed: int = DEF
     return seg.where(F.col("__seg") == 0).drop("__h", "__b", "__seg")
 
 
-def quantile_buckets(df: DataFrame, col: str, out: str = "__b", buckets: int = 64) -> DataFrame:
+def quantile_buckets(df: DataFrame, col: str, out: str = "__b", buckets: int = 1024) -> DataFrame:
     """Add a monotone bucket of a numeric column: bounds are approximate
     quantiles (``buckets`` values collected: a fixed bound), assigned by a
     JVM binary search (Bucketizer)."""
@@ -172,7 +163,11 @@ def quantile_buckets(df: DataFrame, col: str, out: str = "__b", buckets: int = 6
 def positional_segments(df: DataFrame, order_col: str, cuts: list[int], name: str = "segment") -> DataFrame:
     """Segment of each row by its exact position under ``order_col`` (a
     unique key): position < cuts[0] -> 0, < cuts[1] -> 1, ..."""
-    d = quantile_buckets(df, order_col).withColumn("__all", F.lit(0))
+    d = df.withColumn("__all", F.lit(0))
+    if dict(df.dtypes)[order_col] == "string":  # range buckets in the text's own order
+        d = d.withColumn("__b", sampled_range_bucket(d, "__all", order_col))
+    else:
+        d = quantile_buckets(d, order_col)
     spark = df.sparkSession
     cut_df = spark.createDataFrame([tuple([0] + [int(c) for c in cuts])],
                                    ["__all"] + [f"cut_{i + 1}" for i in range(len(cuts))])

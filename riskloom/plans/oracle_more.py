@@ -44,9 +44,22 @@ def split_sql(preset: str, table: str = "labels", id_col: str = "doc_id", cls: s
         c3 = lr(c1, [], cls, "h1", holdout(r2), "kept2")
         q = f"(SELECT {cls}, h1 - kept2 AS cut_1, h1 AS cut_2 FROM {c3} b3)"
     rk = (f"(SELECT {id_col}, {cls}, row_number() OVER (PARTITION BY {cls} ORDER BY "
-          f"md5('{seed}-' || CAST({id_col} AS VARCHAR)), {id_col}) AS rk FROM {table})")
+          f"md5('{seed}-' || coalesce(CAST({id_col} AS VARCHAR), 'null')), {id_col}) AS rk FROM {table})")
     return (f"SELECT r.{id_col}, r.{cls}, CASE WHEN rk <= cut_1 THEN 'test' WHEN rk <= cut_2 THEN 'val' "
-            f"ELSE 'train' END AS split FROM {rk} r JOIN {q} q USING ({cls})")
+            f"ELSE 'train' END AS split FROM {rk} r JOIN {q} q ON r.{cls} IS NOT DISTINCT FROM q.{cls}")
+
+
+NULLED = ("(SELECT CASE WHEN doc_id % 10 <> 7 THEN doc_id END AS doc_id, "
+          "CASE WHEN doc_id % 10 <> 3 THEN toxic END AS toxic FROM labels)")
+
+
+def two_way_sql(ratio: float, table: str = "labels", id_col: str = "doc_id", cls: str = "toxic", seed: int = 42) -> str:
+    c0 = f"(SELECT {cls}, count(*) AS n FROM {table} GROUP BY {cls})"
+    q = f"(SELECT *, n - kept1 AS h1 FROM {lr(c0, [], cls, 'n', holdout(ratio), 'kept1')} b1)"
+    rk = (f"(SELECT {id_col}, {cls}, row_number() OVER (PARTITION BY {cls} ORDER BY "
+          f"md5('{seed}-' || CAST({id_col} AS VARCHAR)), {id_col}) AS rk FROM {table})")
+    return (f"SELECT r.{id_col}, r.{cls}, CAST(rk <= h1 AS INTEGER) AS holdout "
+            f"FROM {rk} r JOIN {q} q ON r.{cls} IS NOT DISTINCT FROM q.{cls}")
 
 
 def samples_sql(table: str = "labels", id_col: str = "doc_id", cls: str = "toxic", extra: str = "") -> str:
@@ -125,6 +138,10 @@ def all_sql() -> dict[str, str]:
                           "FROM labels) s WHERE pos >= 100 AND pos < 200"),
         "half_split": ("SELECT doc_id, toxic, CASE WHEN row_number() OVER (ORDER BY doc_id) - 1 < count(*) OVER () // 2 "
                        "THEN 'first' ELSE 'second' END AS half FROM labels"),
+        "split_null_labels": split_sql("60/20/20", NULLED),
+        "two_way_split": two_way_sql(0.2),
+        "half_split_text_id": ("SELECT 'd|' || doc_id AS doc_id, toxic, CASE WHEN row_number() OVER (ORDER BY 'd|' || doc_id) - 1 "
+                               "< count(*) OVER () // 2 THEN 'first' ELSE 'second' END AS half FROM labels"),
     }
     from riskloom.plans import oracle_select
     out.update(oracle_select.all_sql())

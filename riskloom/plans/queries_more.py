@@ -3,6 +3,8 @@ selection (Spark side). Oracle SQL lives in ``oracle_more``."""
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from riskloom.functions import scalar as S
 from riskloom.operators import prepare as M
 from riskloom.operators import sampling as B
@@ -99,6 +101,22 @@ def q_half_split(spark, sf_dir):
     return B.half_split(_labels(spark, sf_dir), "doc_id")
 
 
+def q_split_null_labels(spark, sf_dir):
+    """Rows with a null label or id keep their place: null is a class of its own."""
+    nulled = _labels(spark, sf_dir).select(F.when(F.col("doc_id") % 10 != 7, F.col("doc_id")).alias("doc_id"),
+                                           F.when(F.col("doc_id") % 10 != 3, F.col("toxic")).alias("toxic"))
+    return B.stratified_split(nulled, "doc_id", "toxic", "60/20/20", SEED)
+
+
+def q_two_way_split(spark, sf_dir):
+    return B.two_way_split(_labels(spark, sf_dir), "doc_id", "toxic", 0.2, SEED)
+
+
+def q_half_split_text_id(spark, sf_dir):
+    text = _labels(spark, sf_dir).withColumn("doc_id", F.concat(F.lit("d|"), F.col("doc_id").cast("string")))
+    return B.half_split(text, "doc_id")
+
+
 def registry() -> dict:
     out = {
         "median_impute": q_median_impute,
@@ -116,6 +134,9 @@ def registry() -> dict:
         "fixed_sample": q_fixed_sample,
         "session_slice": q_session_slice,
         "half_split": q_half_split,
+        "split_null_labels": q_split_null_labels,
+        "two_way_split": q_two_way_split,
+        "half_split_text_id": q_half_split_text_id,
     }
     from riskloom.plans import queries_ml, queries_select
     out.update(queries_select.registry())

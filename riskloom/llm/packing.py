@@ -20,7 +20,6 @@ import re
 import zlib
 from collections import Counter
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -33,7 +32,7 @@ from riskloom.session import ship_package
 
 CAPACITY = 2048
 END_ID = 0           # closes every document
-WORDS_KEPT = 1_000_000  # encodings remembered by a Python worker
+WORDS_KEPT = 1_500_000  # encodings remembered by a Python worker
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, part int, nth long"
 
@@ -99,14 +98,16 @@ class Encoder:
 
     def encode(self, texts: list[str]) -> Iterator[bytes]:
         cut = [self.parts(t) if t else ("", []) for t in texts]
-        wanted = set(chain.from_iterable(rest for _, rest in cut))
-        new = wanted.difference(self.known)
+        found = [list(map(self.known.get, rest)) for _, rest in cut]
+        new = {p for (_, rest), ids in zip(cut, found) if None in ids for p, x in zip(rest, ids) if x is None}
         if len(self.known) + len(new) > WORDS_KEPT:
-            self.known, new = {}, wanted
+            self.known = {}  # what was found stays in hand
         self.learn(new)
-        known = self.known.__getitem__
-        for begun, (_, rest) in zip(self.direct([first for first, _ in cut]), cut):
-            yield begun + b"".join(map(known, rest))
+        known = self.known
+        for begun, (_, rest), ids in zip(self.direct([first for first, _ in cut]), cut, found):
+            if None in ids:
+                ids = [known[p] if x is None else x for p, x in zip(rest, ids)]
+            yield begun + b"".join(ids)
 
 
 def cut_points(length: int, capacity: int) -> list[int]:

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from riskloom.functions.scalar import decide
 from riskloom.operators.metrics import metric_columns
+from riskloom.session import materialize
 
 # The threshold grid is arange(0.20, 0.61, 0.01) - 41 cuts;
 # strategies in the order the reference lists (and breaks ties by).
@@ -174,7 +175,8 @@ def optimise(scores: DataFrame, model_info: DataFrame, min_val_f1: float | None
     screened = screen_models(scores, model_info, min_val_f1)
     weights = strategy_weights(screened, model_info)
     combined = combine_scores(working_scores(scores, screened), weights)
-    curve = threshold_curve(stack_strategies(combined), grid)
+    # at most 41 rows a strategy: stored once, so that the scores are read once
+    curve = materialize(threshold_curve(stack_strategies(combined), grid), "curve")
     best = best_thresholds(curve)
     chosen = best.where((F.col("strategy") == "simple_average") & (F.col("criterion") == "balanced_accuracy"))
     table = strategy_table(curve, chosen)
@@ -290,7 +292,8 @@ def optimise_wide(wide: DataFrame, model_ids: list[int], model_info: DataFrame |
     screened = screen_models_wide(wide, model_ids, info, min_val_f1)
     weights = strategy_weights(screened, info)
     combined = combine_wide(wide, model_ids, weights)
-    curve = threshold_curve(stack_strategies(combined), grid)
+    # at most 41 rows a strategy: stored once, so that the scores are read once
+    curve = materialize(threshold_curve(stack_strategies(combined), grid), "curve")
     best = best_thresholds(curve)
     chosen = best.where((F.col("strategy") == "simple_average") & (F.col("criterion") == "balanced_accuracy"))
     table = strategy_table(curve, chosen)

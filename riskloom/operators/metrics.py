@@ -102,16 +102,23 @@ def weighted_sq_error(df: DataFrame, expectation: str, label: str, keys: list[st
         df, keys, drop = df.withColumn("__g", F.lit(0)), ["__g"], True
     else:
         drop = False
-    y = F.col(label)
-    cnt = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"), F.count_if(y == 1).alias("__p"))
-    # one row per key group, joined back on the group keys
-    j = df.join(cnt, on=keys, how="inner")
-    n, p = F.col("__n").cast("double"), F.col("__p").cast("double")
-    w = (F.when((F.col("__p") == 0) | (F.col("__p") == F.col("__n")), F.lit(1.0))
-         .when(y == 1, n / (F.lit(2.0) * p)).otherwise(n / (F.lit(2.0) * (n - p))))
-    err = F.col(expectation) - signed_label(y).cast("double")
-    out = j.groupBy(*keys).agg(F.avg(w * err * err).alias("loss"),
-                               F.avg((sign_decision(expectation) == y).cast("double")).alias("accuracy"))
+    # one pass: sums per class, then the class weights on those sums
+    y = (F.col(label) == 1).cast("int")
+    err = F.col(expectation) - signed_label(F.col(label)).cast("double")
+    per = df.groupBy(*keys, y.alias("__y")).agg(
+        F.count(F.lit(1)).alias("__n"), F.count(err).alias("__ne"), F.sum(err * err).alias("__e"),
+        F.sum((sign_decision(expectation) == F.col(label)).cast("double")).alias("__a"),
+        F.count(sign_decision(expectation) == F.col(label)).alias("__na"))
+    n, p = F.sum("__n"), F.sum(F.when(F.col("__y") == 1, F.col("__n")).otherwise(0))
+    one = lambda c, v: F.coalesce(F.sum(F.when(F.coalesce(F.col("__y"), F.lit(0)) == v, F.col(c))), F.lit(0))
+    tot = per.groupBy(*keys).agg(n.alias("n"), p.alias("p"), *[one(c, v).alias(f"{c}{v}") for c in ("__ne", "__e") for v in (0, 1)],
+                                 F.sum("__a").alias("a"), F.sum("__na").alias("na"))
+    nd, pd_ = F.col("n").cast("double"), F.col("p").cast("double")
+    single = (F.col("p") == 0) | (F.col("p") == F.col("n"))
+    w1 = F.when(single, 1.0).otherwise(F.try_divide(nd, 2.0 * pd_))
+    w0 = F.when(single, 1.0).otherwise(F.try_divide(nd, 2.0 * (nd - pd_)))
+    loss = F.try_divide(F.coalesce(w1, F.lit(0.0)) * F.col("__e1") + F.coalesce(w0, F.lit(0.0)) * F.col("__e0"), F.col("__ne0") + F.col("__ne1"))
+    out = tot.select(*keys, loss.alias("loss"), F.try_divide(F.col("a"), F.col("na")).alias("accuracy"))
     return out.drop("__g") if drop else out
 
 

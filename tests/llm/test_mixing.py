@@ -39,9 +39,16 @@ def test_memberships_and_totals(spark):
     assert all(abs(sum(p(r)) - 1) < 1e-9 and r.rate >= 0 for r in got)
     free = [r for r in got if r.doc_id in truth and r.doc_id not in known]
     assert np.mean([int(np.argmax(p(r))) == truth[r.doc_id] for r in free]) > 0.9
-    total = sum(r.n_tokens for r in got)
-    for d in mixing.DOMAINS:
-        assert abs(sum(r.n_tokens * r[f"p_{d}"] * r.rate for r in got) / total - mixing.TARGETS[d]) < 0.03  # soft memberships set a limit
+    # soft memberships may keep a target out of reach: compare with the best that rates can do
+    q, n, rate = np.array([p(r) for r in got]), np.array([float(r.n_tokens) for r in got]), np.array([r.rate for r in got])
+    targets = np.array([mixing.TARGETS[d] for d in mixing.DOMAINS])
+    total, base, best = n.sum(), n @ q, np.ones(len(got))
+    for _ in range(20000):
+        gap = ((n * best) @ q - targets * total) / base
+        best = np.maximum(0, best - (q @ gap + mixing.RIDGE * (best - 1)) / (1 + mixing.RIDGE))
+    cost = lambda w: ((((n * w) @ q - targets * total) ** 2 / base).sum() + mixing.RIDGE * (n * (w - 1) ** 2).sum()) / total
+    assert cost(rate) <= cost(best) + 0.001 < cost(np.ones(len(got)))
+    assert np.abs((n * rate) @ q / total - targets).max() <= np.abs((n * best) @ q / total - targets).max() + 0.01
     assert abs(sum(r.copies for r in got) - sum(r.rate for r in got)) < 60
     mixed = mixing.resample(df, lab)
     assert mixed.columns == df.columns and mixed.count() == sum(r.copies for r in got)
@@ -53,7 +60,9 @@ def test_solution_is_the_constrained_least_squares(spark):
     n = rng.integers(1, 500, 400)
     target, ridge = np.array([0.98, 0.01, 0.01]), 0.05
     df = spark.createDataFrame([(int(a), *map(float, b)) for a, b in zip(n, p)], "n long, p0 double, p1 double, p2 double")
-    rate = np.array([r[0] for r in df.select(mixing.solve(df, list(target), ridge, 400, 1e-12)).collect()])
+    order = np.lexsort((p[:, 0], n))
+    p, n = p[order], n[order]
+    rate = np.array([r[0] for r in mixing.solve(df, list(target), ridge, 400, 1e-12).orderBy("n", "p0").select("rate").collect()])
     # plain projected gradient, many small steps
     total, base, w = n.sum(), (n[:, None] * p).sum(0), np.ones(400)
     for _ in range(20000):

@@ -24,13 +24,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskloom.llm.common import stored, text_or_empty
 from riskloom.llm.components import components
-from riskloom.llm.wordsets import mix, shingles, signature, window_hashes
+from riskloom.llm.wordsets import SHINGLE, mix, rolling, shingles, signatures, window_hashes, window_least
 from riskloom.llm.wordsets import _words as word_hash
 from riskloom.session import ship_package
 
@@ -43,7 +42,8 @@ SIMILAR = 0.8
 
 UNITS = "key long, unit long, line boolean, d1 long, start int, end int"
 _NAMES = [x.split()[0] for x in UNITS.split(", ")]
-BLANKS = b" \t\n\v\f\r"
+_ROW = mix(np.arange(101, 101 + ROWS, dtype=np.uint64)) | np.uint64(1)
+_BAND = mix(np.arange(1, BANDS + 1, dtype=np.uint64))
 
 
 def _word_spans(raw: bytes) -> np.ndarray:
@@ -59,45 +59,55 @@ def anchors(words: np.ndarray, gap: int = GAP) -> np.ndarray:
     pairs = window_hashes(words, 2)
     if len(words) < 2 or len(pairs) < gap:
         return np.zeros(min(1, len(words)), np.int64)
-    view = np.lib.stride_tricks.sliding_window_view(pairs, gap)
-    return np.unique(view.argmin(axis=1) + np.arange(len(view)))
+    least = window_least(pairs, gap)
+    # the greatest least of the windows that hold a position is its own hash only if it is the least of one
+    edge = np.zeros(gap - 1, np.uint64)
+    top = ~window_least(~np.concatenate([edge, least, edge]), gap)
+    return np.flatnonzero(top == pairs)
 
 
-def units(text: str) -> Iterator[tuple[list[int], int, bool, int, int]]:
-    """(keys, content hash, is a paragraph, start, end in bytes) of each unit of a text."""
+def units(text: str) -> list[np.ndarray] | None:
+    """Arrays of key, content hash, is a paragraph, start and end (bytes) of the units of a text."""
     raw = text.encode("utf-8", "surrogatepass")
     spans = _word_spans(raw)
-    if len(spans) < min(LINE_WORDS, BLOCK_WORDS):
-        return
-    words = np.fromiter(map(word_hash.__getitem__, raw.split()), np.uint64, len(spans))
-    if len(spans) >= BLOCK_WORDS:
-        whole = window_hashes(words, BLOCK_WORDS)
-        at = anchors(words)
-        at = at[at < len(whole)]
-        second = mix(whole[at] + window_hashes(words[::-1], BLOCK_WORDS)[::-1][at])
-        for k, unit, i in zip(whole[at].view(np.int64).tolist(), second.view(np.int64).tolist(), at.tolist()):
-            yield [k], unit, False, int(spans[i, 0]), int(spans[i + BLOCK_WORDS - 1, 1])
+    n = len(spans)
+    if n < min(LINE_WORDS, BLOCK_WORDS):
+        return None
+    words = np.fromiter(map(word_hash.__getitem__, raw.split()), np.uint64, n)
+    at = anchors(words)
+    at = at[at <= n - BLOCK_WORDS]
+    out = [[rolling(words, BLOCK_WORDS, 0)[at], rolling(words, BLOCK_WORDS, 1)[at], np.zeros(len(at), bool),
+            spans[at, 0], spans[at + BLOCK_WORDS - 1, 1]]] if len(at) else []
     breaks = np.flatnonzero(np.frombuffer(raw, np.uint8) == 10)
-    bounds = np.concatenate([[0], np.searchsorted(spans[:, 0], breaks), [len(spans)]])
-    for a, b in zip(bounds, bounds[1:]):
-        if b - a >= LINE_WORDS:
-            own = window_hashes(words[a:b])
-            sig = signature(own, BANDS * ROWS).reshape(BANDS, ROWS)
-            keys = [xxhash.xxh64_intdigest(row.tobytes(), seed=k + 1) for k, row in enumerate(sig)]
-            unit = xxhash.xxh64_intdigest(words[a:b].tobytes())
-            yield (np.array(keys, np.uint64).view(np.int64).tolist(), int(np.uint64(unit).view(np.int64)), True,
-                   int(spans[a, 0]), int(spans[b - 1, 1]))
+    bounds = np.concatenate([[0], np.searchsorted(spans[:, 0], breaks), [n]])
+    long = np.flatnonzero(np.diff(bounds) >= LINE_WORDS)
+    if len(long):
+        first, last = bounds[long], bounds[long + 1]
+        own = window_hashes(words)  # those within a line are its shingles
+        inside = np.concatenate([np.arange(a, b - SHINGLE + 1) for a, b in zip(first, last)])
+        starts = np.concatenate([[0], np.cumsum(last - first - SHINGLE + 1)[:-1]])
+        sig = signatures(own[inside], starts, BANDS * ROWS).reshape(len(long), BANDS, ROWS)
+        keys = mix((sig * _ROW[None, None, :]).sum(axis=2, dtype=np.uint64) + _BAND[None, :])
+        total = np.concatenate([np.zeros(1, np.uint64), np.add.accumulate(mix(words + np.uint64(1)) * (np.arange(n, dtype=np.uint64) * np.uint64(2) + np.uint64(1)))])
+        place = np.concatenate([np.zeros(1, np.uint64), np.add.accumulate(mix(words + np.uint64(1)))])
+        # the sum of words times their place in the line, and the sum of words
+        content = (total[last] - total[first]) - (place[last] - place[first]) * (first.astype(np.uint64) * np.uint64(2))
+        content = mix(content ^ mix(place[last] - place[first]) + (last - first).astype(np.uint64))
+        out.append([keys.ravel(), np.repeat(content, BANDS), np.ones(len(long) * BANDS, bool),
+                    np.repeat(spans[first, 0], BANDS), np.repeat(spans[last - 1, 1], BANDS)])
+    return [np.concatenate(c) for c in zip(*out)] if out else None
 
 
 def _unit_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for at in range(0, batch.num_rows, 256):
-            part, rows = batch.slice(at, 256), []
-            for d1, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
-                rows += [(key, unit, line, d1, a, b) for keys, unit, line, a, b in units(text) for key in keys]
-            kinds = (pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.int32(), pa.int32())
-            columns = list(zip(*rows)) or [()] * len(kinds)
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], _NAMES)
+            part = batch.slice(at, 256)
+            made = [(d1, found) for d1, t in zip(part.column(0).to_pylist(), part.column(1).to_pylist()) if (found := units(t))]
+            if made:
+                key, unit, line, a, b = (np.concatenate(c) for c in zip(*(found for _, found in made)))
+                d1 = np.repeat(np.array([d for d, _ in made], np.int64), [len(found[0]) for _, found in made])
+                yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(unit.view(np.int64)), pa.array(line), pa.array(d1),
+                                                  pa.array(a.astype(np.int32)), pa.array(b.astype(np.int32))], _NAMES)
 
 
 def _bytes_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -158,8 +168,11 @@ def meetings(rows: DataFrame) -> DataFrame:
     """``key, unit, line, d1, start, end, low``: units whose key occurs in two
     documents, and the least unit of the key. Stored once."""
     cut = rows.select("d1", "text").mapInArrow(_unit_batches, UNITS).repartition("key")
-    # one exchange serves the aggregation and the join
-    ends = cut.groupBy("key").agg(F.min("d1").alias("from"), F.max("d1").alias("to"), F.min("unit").alias("low")).filter("from < to").drop("from", "to")
+    # One exchange serves the aggregation and the join, if both read the same columns: so
+    # the aggregation looks at all of them (a line is no block, and starts before it ends).
+    ends = cut.groupBy("key").agg(F.min("d1").alias("from"), F.max("d1").alias("to"), F.min("unit").alias("low"),
+                                  F.min(F.col("end") - F.col("start")).alias("size"), F.bool_or("line").alias("lines"), F.bool_and("line").alias("all"))
+    ends = ends.filter("from < to and size > 0 and lines = all").select("key", "low")
     return stored(cut.join(ends.hint("shuffle_hash"), "key"), "meetings")
 
 

@@ -50,6 +50,36 @@ def window_hashes(words: np.ndarray, size: int = SHINGLE) -> np.ndarray:
     return mix(total + np.uint64(size))
 
 
+_BASES = [int(x) for x in _rng.integers(1, 2**62, 2, dtype=np.uint64) * np.uint64(2) + np.uint64(1)]
+_powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+
+
+def rolling(words: np.ndarray, size: int, base: int = 0) -> np.ndarray:
+    """One hash for each run of exactly ``size`` words, whatever the size, from
+    prefix sums (arithmetic modulo 2**64, the base has an inverse)."""
+    n = len(words)
+    if n < size:
+        return np.empty(0, np.uint64)
+    up, down = _powers.get(base, (np.empty(0, np.uint64),) * 2)
+    if len(up) < n + 1:
+        many = max(4096, 2 * n)
+        step = [np.full(many, b % 2**64, np.uint64) for b in (_BASES[base], pow(_BASES[base], -1, 2**64))]
+        for x in step:
+            x[0] = 1
+        up, down = _powers[base] = tuple(np.multiply.accumulate(x) for x in step)
+    total = np.concatenate([np.zeros(1, np.uint64), np.add.accumulate(words * down[:n])])
+    return mix((total[size:] - total[:-size]) * up[:n - size + 1])
+
+
+def window_least(x: np.ndarray, size: int) -> np.ndarray:
+    """The least of each ``size`` consecutive numbers."""
+    width = 1
+    while 2 * width <= size:
+        x = np.minimum(x[:-width], x[width:])
+        width *= 2
+    return np.minimum(x[:len(x) - (size - width)], x[size - width:]) if size > width else x
+
+
 def shingles(text: str | None) -> np.ndarray:
     """The set of word shingles, sorted."""
     return np.unique(window_hashes(word_hashes(text)))
@@ -64,6 +94,14 @@ def signature(items: np.ndarray, hashes: int = HASHES) -> np.ndarray:
     return (least >> np.uint64(32)).astype("<u4")
 
 
+def signatures(items: np.ndarray, starts: np.ndarray, hashes: int) -> np.ndarray:
+    """MinHash values of consecutive sets that begin at ``starts``, one row a set."""
+    out = np.full((len(starts), hashes), np.uint64(2**64 - 1))
+    for k in range(hashes):
+        out[:, k] = np.minimum.reduceat(items * _ODD[k], starts)
+    return out >> np.uint64(32)
+
+
 def similar_pairs(sets: list[np.ndarray], threshold: float, split: int | None = None) -> np.ndarray:
     """Boolean matrix: which sets have an exact Jaccard similarity of ``threshold``
     or more. With ``split``, only pairs of one of the first ``split`` sets and one of

@@ -1,8 +1,7 @@
 """Registered ML queries (rows-only checks: no SQL oracle can express a fit).
 
-They use the ``fast`` preset (20 boosting rounds instead of 500) so the
-check stays within minutes; the fitted structure, weighting and scoring are
-the same as with ``full``.
+They use the ``full`` preset: 500 boosting rounds on all training rows, each
+model cut back to its best validation round (patience 50).
 """
 
 from __future__ import annotations
@@ -13,7 +12,7 @@ from riskloom.plans import train as T
 from riskloom.session import checkpoint_dir
 from riskloom.sources import adapters as A
 
-PRESET = "fast"
+PRESET = "full"
 _RUNS: dict = {}
 
 

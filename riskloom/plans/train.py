@@ -21,7 +21,7 @@ from riskloom.session import materialize
 from riskloom.sources import io
 
 
-def train_ensemble(spark: SparkSession, data: DataFrame, preset: str = "fast", split_preset: str = "60/20/20",
+def train_ensemble(spark: SparkSession, data: DataFrame, preset: str = "full", split_preset: str = "60/20/20",
                    parallelism: int | None = None, fit_scaler_on: str = "train",
                    shard_train: bool = False) -> dict:
     """data: (row_id, features array<double>, y).
@@ -42,6 +42,11 @@ def train_ensemble(spark: SparkSession, data: DataFrame, preset: str = "fast", s
         shards = materialize(stratified_samples(train, "row_id", "y", "split", n_models=len(configs)), "train_shards")
         per_model = {c.model_id: shards.where(F.col("model_id") == c.model_id) for c in configs}
     fitted = L.fit_ensemble(train, configs, parallelism=par, per_model=per_model)
+    # best round under the reference's patience rule (one loss list per model);
+    # as in the reference, everything below is scored with the rounds up to it
+    best = [(c.model_id, *L.patience_round(m, val)) for c, m in fitted]
+    rounds = spark.createDataFrame(best, "model_id int, best_round int, stop_round int")
+    fitted = [(c, L.truncated(m, b)) for (c, m), (_, b, _) in zip(fitted, best)]
     # score tables are written once (the reference caches test predictions
     # too) as Parquet under the shared checkpoint folder, which also cuts the
     # 12-model lineage that every later step would re-plan
@@ -49,9 +54,6 @@ def train_ensemble(spark: SparkSession, data: DataFrame, preset: str = "fast", s
     val_wide = materialize(L.score_wide(fitted, val), "val_scores")
     test_wide = materialize(L.score_wide(fitted, test), "test_scores")
     val_scores, test_scores = L.wide_to_long(val_wide, ids), L.wide_to_long(test_wide, ids)
-    # best round under the reference's patience rule (one loss list per model)
-    rounds = spark.createDataFrame([(c.model_id, *L.patience_round(m, val)) for c, m in fitted],
-                                   "model_id int, best_round int, stop_round int")
     info = L.model_info_table(spark, fitted, validation_metrics(val_scores)).join(rounds, "model_id", "left")
     return {"split": s, "scaler": stats, "fitted": fitted, "model_ids": ids, "val_wide": val_wide,
             "test_wide": test_wide, "val_scores": val_scores, "test_scores": test_scores, "model_info": info}

@@ -11,7 +11,8 @@ equal in all its copies (a band of one row: the block itself).
 Paragraphs get ``BANDS`` bands of ``ROWS`` MinHash values, tuned so that a
 pair at the threshold meets with a probability of 0.997. Those that meet a
 bucket's least member are verified by the exact Jaccard similarity of their
-word shingles. Equal blocks and linked paragraphs form components; in each,
+word shingles; those that stay outside its component are compared with
+everybody in their bucket, in blocks of bounded size that return a row a member. Equal blocks and linked paragraphs form components; in each,
 the first occurrence stays and the others are removals.
 
 One exchange deals all keys out; buckets are streamed, never gathered. Texts
@@ -29,7 +30,7 @@ from pyspark.sql import functions as F
 
 from riskloom.llm.common import stored, text_or_empty
 from riskloom.llm.components import components
-from riskloom.llm.wordsets import SHINGLE, mix, rolling, shingles, signatures, window_hashes, window_least
+from riskloom.llm.wordsets import SHINGLE, forest, mix, rolling, shingles, signatures, similar_pairs, window_hashes, window_least
 from riskloom.llm.wordsets import _words as word_hash
 from riskloom.session import ship_package
 
@@ -39,6 +40,7 @@ GAP = 20
 BANDS = 8
 ROWS = 3
 SIMILAR = 0.8
+BLOCK = 128     # paragraphs in a block of exact comparisons
 
 UNITS = "key long, unit long, line boolean, d1 long, start int, end int"
 _NAMES = [x.split()[0] for x in UNITS.split(", ")]
@@ -131,6 +133,20 @@ def _verify(threshold: float):
     return run
 
 
+def _verify_blocks(threshold: float):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            edges = []
+            for members in batch.column(0).to_pylist():
+                members.sort(key=lambda m: not m["ask"])
+                sets = [np.frombuffer(m["items"], np.uint64) for m in members]
+                near = similar_pairs(sets, threshold, sum(m["ask"] for m in members))
+                edges += [(members[root]["unit"], m["unit"]) for m, root in zip(members, forest(near)) if m["unit"] != members[root]["unit"]]
+            columns = list(zip(*edges)) or [()] * 2
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["a", "b"])
+    return run
+
+
 def _merge(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     out: list[list[int]] = []
     for a, b in sorted(spans):
@@ -186,7 +202,28 @@ def links(rows: DataFrame, met: DataFrame, threshold: float) -> DataFrame:
     items = stored(texts.mapInArrow(_bytes_of, "unit long, items binary").groupBy("unit").agg(F.first("items").alias("items")), "items")
     both = pairs.join(items.select(F.col("unit").alias("a"), F.col("items").alias("x")), "a") \
         .join(items.select(F.col("unit").alias("b"), F.col("items").alias("y")), "b")
-    return stored(both.mapInArrow(_verify(threshold), "a long, b long"), "links")
+    found = stored(both.mapInArrow(_verify(threshold), "a long, b long"), "links")
+    return stored(found.union(_outside(met, found, items, threshold)), "links")
+
+
+def _outside(met: DataFrame, found: DataFrame, items: DataFrame, threshold: float) -> DataFrame:
+    """Links ``a, b`` of paragraphs outside the component of their bucket's least one to any other of the bucket."""
+    label = components(found).select(F.col("node").alias("unit"), F.col("component").alias("label"))
+    named = stored(met.filter("line").select("key", "unit").distinct().join(label, "unit", "left")
+                   .withColumn("label", F.coalesce("label", "unit")), "named")
+    least = named.groupBy("key").agg(F.min(F.struct("unit", "label"))["label"].alias("done"), F.count(F.lit(1)).alias("size"),
+                                     F.min("label").alias("from"), F.max("label").alias("to"))
+    # two members have met already
+    mixed = named.join(least.filter("size > 2 and from < to"), "key").withColumn("ask", F.col("label") != F.col("done"))
+    mixed = stored(mixed.select("key", "unit", "size", "ask", F.xxhash64("unit", F.lit(9)).alias("hash")), "mixed")
+    askers = mixed.filter("ask").groupBy("key").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("askers"))
+    dealt = mixed.join(askers, "key").withColumn("parts", F.ceil(F.col("size") / BLOCK).cast("int"))
+    # a group (key, k, p) holds the k-th block of those who ask and the p-th part of everybody
+    own, part = F.pmod("hash", "askers").cast("int"), F.pmod("hash", "parts").cast("int")
+    asked = dealt.filter("ask").select("key", "unit", "ask", own.alias("k"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("p"))
+    heard = dealt.select("key", "unit", F.lit(False).alias("ask"), F.explode(F.sequence(F.lit(0), F.col("askers") - 1)).alias("k"), part.alias("p"))
+    groups = asked.unionByName(heard).join(items, "unit").groupBy("key", "k", "p").agg(F.collect_list(F.struct("ask", "unit", "items")).alias("members"))
+    return groups.select("members").mapInArrow(_verify_blocks(threshold), "a long, b long").distinct()
 
 
 def repeated_passages(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold: float = SIMILAR) -> DataFrame:

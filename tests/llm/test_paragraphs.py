@@ -68,3 +68,24 @@ def test_every_long_shared_run_holds_a_block():
             at = paragraphs.anchors(words)
             sides.append(set(whole[at[at < len(whole)]].tolist()))
         assert sides[0] & sides[1]
+
+
+def test_templated_paragraphs_match_all_pairs(spark):
+    rnd = random.Random(3)
+    word = lambda: "".join(rnd.choice("abcdefghijkl") for _ in range(7))
+    template, rows = [word() for _ in range(84)], []
+    for i in range(100):
+        own = template + [word() for _ in range(36)]
+        near = list(own)
+        near[90], near[110] = word(), word()
+        rows += [(2 * i, " ".join(own)), (2 * i + 1, " ".join(near))]
+    sets = {}
+    for _, t in rows:
+        w = t.split()
+        keys, units, line, *_ = paragraphs.units(t)
+        sets[int(units[line].view(np.int64)[0])] = {tuple(w[i:i + 5]) for i in range(len(w) - 4)}
+    want = {frozenset((a, b)) for a, x in sets.items() for b, y in sets.items() if a < b and len(x & y) >= 0.8 * len(x | y)}
+    assert len(want) == 100
+    docs = paragraphs._rows(spark.createDataFrame(rows, "doc_id long, text string"), "doc_id", "text")
+    got = {frozenset((r.a, r.b)) for r in paragraphs.links(docs, paragraphs.meetings(docs), 0.8).collect()}
+    assert got <= want and len(got) >= 0.99 * len(want)

@@ -9,7 +9,7 @@ similarity. Buckets of up to ``SMALL`` sets are compared by brute force on
 their signatures; larger ones split again, up to ``DEPTH`` times, after which
 all members are compared with the least one, and those unlike it with
 everybody, in blocks. Runs repeat until a pair at the threshold is missed
-with the probability ``1 - RECALL``.
+with the probability ``1 - RECALL`` even if all its buckets split ``DEPTH`` times.
 
 Pairs that look alike (estimate of ``LOOK`` or more) form coarse components.
 In each, the exact Jaccard similarities of all members are computed from
@@ -42,10 +42,13 @@ DEPTH = 3       # splits of a bucket
 BLOCK = 256     # sets in a block of exact comparisons
 
 
-def runs_for(recall: float, similar: float = SIMILAR) -> int:
-    """Runs after which a pair shares a first-level bucket with this probability."""
-    chosen = 1.0 / (similar * HASHES)
-    missed = (1 - chosen) ** (similar * HASHES)
+def runs_for(recall: float, similar: float = SIMILAR, depth: int = 1) -> int:
+    """Runs after which a pair shares a bucket after ``depth`` splits with this
+    probability: at each split, a shared bucket passes on as many shared
+    children as the pair's common tokens that are chosen."""
+    chosen, missed = 1.0 / (similar * HASHES), 0.0
+    for _ in range(depth):
+        missed = (1 - chosen * (1 - missed)) ** (similar * HASHES)
     return math.ceil(math.log(1 - recall) / math.log(missed))
 
 
@@ -246,7 +249,7 @@ def join_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     made = stored(rows.mapInArrow(_embed, "doc_id long, d1 long, d2 long, c1 long, c2 long, n int, sig binary"), "embedded")
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "d1", "d2")
     classes = stored(made.groupBy("c1", "c2").agg(F.min(order).alias("at"), F.first("sig").alias("sig")), "classes")
-    edges = coarse_edges(classes.filter("sig is not null"), runs_for(recall), small, depth)
+    edges = coarse_edges(classes.filter("sig is not null"), runs_for(recall, depth=depth), small, depth)
     named = components(edges.select(F.struct(F.col("a1").alias("c1"), F.col("a2").alias("c2")).alias("a"),
                                     F.struct(F.col("b1").alias("c1"), F.col("b2").alias("c2")).alias("b")))
     coarse = stored(named.select("node.c1", "node.c2", F.col("component.c1").alias("g1"), F.col("component.c2").alias("g2")), "coarse")

@@ -86,3 +86,22 @@ def test_similar_pairs_and_forest():
 
 def test_runs():
     assert pathjoin.runs_for(0.999) == 7 and pathjoin.runs_for(0.5) == 1
+
+
+def test_recall_of_threshold_pairs_in_large_buckets(spark, monkeypatch):
+    assert pathjoin.runs_for(0.999, depth=2) == 11 and pathjoin.runs_for(0.999, depth=3) == 15
+    used, plain = [], pathjoin.coarse_edges
+    monkeypatch.setattr(pathjoin, "coarse_edges", lambda sets, runs, *how: used.append(runs) or plain(sets, runs, *how))
+    pathjoin.join_documents(spark.createDataFrame([(1, "a b c d e f")], "doc_id long, text string"))
+    assert used == [15]
+    rng = np.random.default_rng(8)
+    rows = []
+    for i in range(300):  # every token is in a third of the sets, so no bucket is small before the last split
+        sig = rng.integers(0, 3, wordsets.HASHES).astype("<u4")
+        near = sig.copy()
+        near[rng.permutation(wordsets.HASHES)[:13]] += 7
+        rows += [(2 * i, 0, sig.tobytes()), (2 * i + 1, 0, near.tobytes())]
+    df = spark.createDataFrame([(a, b, bytearray(s)) for a, b, s in rows], "c1 long, c2 long, sig binary").repartition(4)
+    found = {r.node.c1: r.component.c1 for r in pathjoin.components(plain(df, used[0], 4, 3).selectExpr(
+        "struct(a1 AS c1, a2 AS c2) AS a", "struct(b1 AS c1, b2 AS c2) AS b")).collect()}
+    assert sum(2 * i in found and found[2 * i] == found.get(2 * i + 1) for i in range(300)) >= 0.99 * 300

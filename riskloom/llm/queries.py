@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
 
-from riskloom.llm import cotrain, knn, lines, mixing, outliers, packing, paragraphs, pathjoin, secrets, sharding
+from riskloom.llm import (bitslices, compress, cotrain, knn, lexical, lines, mixing, outliers, packing, paragraphs, pathjoin,
+                          secrets, sharding)
 from riskloom.llm.common import table
 
 SHARDS = [f"shard-{i:03d}" for i in range(64)]
@@ -57,6 +58,18 @@ def op10_block_knn(spark: SparkSession, sf_dir: str) -> DataFrame:
     return knn.nearest(table(spark, sf_dir, "embeddings"))
 
 
+def op11_limb_split_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return compress.compress(table(spark, sf_dir, "embeddings"))
+
+
+def op12_bit_sliced_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bitslices.top_products(table(spark, sf_dir, "embeddings"))
+
+
+def op13_range_maximum_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.ranked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "pipeline": corpus_pipeline.run,
@@ -70,10 +83,16 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_paragraph_minhash": op8_paragraph_minhash,
         "op9_fuzzy_lines": op9_fuzzy_lines,
         "op10_block_knn": op10_block_knn,
+        "op11_limb_split_codes": op11_limb_split_codes,
+        "op12_bit_sliced_topk": op12_bit_sliced_topk,
+        "op13_range_maximum_search": op13_range_maximum_search,
     }
 
 
 def oracle_sql() -> dict[str, str]:
     return {
         "op4_blob_ledger_secrets": secrets.oracle(),
+        "op11_limb_split_codes": compress.oracle(),
+        "op12_bit_sliced_topk": bitslices.oracle(),
+        "op13_range_maximum_search": lexical.oracle(),
     }

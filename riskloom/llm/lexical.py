@@ -26,6 +26,7 @@ from riskloom.session import ship_package
 
 SEGMENT_POSTINGS = 500_000  # postings of a segment, about
 QUERY_BLOCK = 1024          # queries that search a segment together
+CUT = 256                   # documents whose terms are held at once
 SPLITS = 64                 # intervals split at a time, at first
 ALL = b""                   # stands for "any term": no term is empty
 
@@ -40,7 +41,7 @@ def terms_of(text: str | None) -> list[bytes]:
 
 def _cut(batches):
     """A row for each term of a document, and one for ``ALL``."""
-    for batch in batches:
+    for batch in (b.slice(at, CUT) for b in batches for at in range(0, b.num_rows, CUT)):
         counts = [Counter(terms_of(t)) for t in batch.column("text").to_pylist()]
         n = np.array([c.total() for c in counts], dtype=np.int64)
         each = np.array([len(c) + 1 if c else 0 for c in counts], dtype=np.int64)

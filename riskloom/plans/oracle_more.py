@@ -6,7 +6,7 @@ definition the distributed two-phase rank must reproduce.
 
 from __future__ import annotations
 
-from riskloom.plans.oracle import OBS_DAILY, OBS_GAPS, D
+from riskloom.plans.oracle import LAGCHG_NAMES, OBS_DAILY, OBS_GAPS, ROLL_NAMES, D, _sel_round, filled
 
 RAW = ["tmmx", "tmmn", "rmax", "rmin", "vpd", "vs", "erc", "bi", "fm100", "fm1000", "pr", "srad"]
 GAP_COLS = ["tmmx", "vpd", "rmin"]
@@ -143,6 +143,18 @@ def all_sql() -> dict[str, str]:
         "half_split_text_id": ("SELECT 'd|' || doc_id AS doc_id, toxic, CASE WHEN row_number() OVER (ORDER BY 'd|' || doc_id) - 1 "
                                "< count(*) OVER () // 2 THEN 'first' ELSE 'second' END AS half FROM labels"),
     }
+    out["carried_features"] = (f"SELECT latitude, longitude, d, false AS late, {_sel_round(ROLL_NAMES + LAGCHG_NAMES)} FROM "
+                               f"({filled(OBS_GAPS)}) x WHERE d > (SELECT max(d) - 10 FROM ({OBS_DAILY}) o)")
+    out["new_observation_rows"] = (f"SELECT CAST(latitude AS VARCHAR) || '|' || CAST(longitude AS VARCHAR) || '|' || datetime AS row_id, "
+                                   f"false AS late, true AS in_range, true AS decided_at_cut FROM ({OBS_DAILY}) o "
+                                   f"WHERE d > (SELECT max(d) - 10 FROM ({OBS_DAILY}) p)")
+    rows = "(SELECT vec_id AS row_id, CASE WHEN label = 0 THEN 1 ELSE 0 END AS y FROM embeddings)"
+    cut = split_sql("60/20/20", rows, "row_id", "y")
+    out["boosted_score_rows"] = (f"SELECT split, row_id, y, CAST(12 AS BIGINT) AS models, CAST(0 AS BIGINT) AS bad "
+                                 f"FROM ({cut}) s WHERE split <> 'train'")
+    test = f"(SELECT row_id, y, row_number() OVER (ORDER BY row_id) - 1 AS pos, count(*) OVER () AS n FROM ({cut}) s WHERE split = 'test')"
+    out["stacked_score_rows"] = (f"SELECT 'logistic' AS stacker, row_id, y, true AS equal FROM {test} a UNION ALL "
+                                 f"SELECT 'forest', row_id, y, true FROM {test} b WHERE pos >= n // 2")
     from riskloom.plans import oracle_select
     out.update(oracle_select.all_sql())
     return out

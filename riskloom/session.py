@@ -84,6 +84,12 @@ def materialize(df, name: str = "table"):
     return spark.read.parquet(path)
 
 
+def drop_path(spark: SparkSession, path: str) -> None:
+    """Delete a table that nothing reads any more, on whatever file system it is."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop, True)
+
+
 def ship_package(spark: SparkSession) -> None:
     """Send this package to the executors (once per application), so that
     functions run by ``mapInPandas`` and the like can be unpickled there even

@@ -45,7 +45,7 @@ def train_ensemble(spark: SparkSession, data: DataFrame, preset: str = "full", s
     if shard_train:
         from riskloom.operators.sampling import stratified_samples
         shards = materialize(stratified_samples(train, "row_id", "y", "split", n_models=len(configs)), "train_shards")
-        per_model = {c.model_id: shards.where(F.col("model_id") == c.model_id) for c in configs}
+        per_model = {c.model_id: shards.where(F.col("model_id") == i) for i, c in enumerate(configs, 1)}
     fitted = L.fit_ensemble(train, configs, val=val, per_model=per_model, path=path)
     rounds = spark.createDataFrame([(c.model_id, b.getNumTrees, b.rounds_fitted) for c, b in fitted],
                                    "model_id int, best_round int, stop_round int")

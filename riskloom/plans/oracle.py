@@ -155,6 +155,7 @@ def all_sql() -> dict[str, str]:
         "engineered_table": q_engineered_table(),
         "engineered_table_chunked": q_engineered_table(),
     }
-    from riskloom.plans import oracle_more
+    from riskloom.plans import oracle_more, queries_store
     out.update(oracle_more.all_sql())
+    out.update(queries_store.all_sql())
     return out

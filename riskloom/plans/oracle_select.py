@@ -111,6 +111,13 @@ CONFIG = (f"(SELECT t.strategy, t.threshold, t.balanced_accuracy, t.f1, t.recall
           f"UNION ALL SELECT model_id, 'recall_weighted', recall_weighted FROM {WEIGHTS} c) w USING (strategy))")
 
 
+def daily_gaps_sql() -> str:
+    return (f"WITH o AS ({OBS_DAILY}), e AS (SELECT DISTINCT latitude, longitude FROM o), "
+            "days AS (SELECT CAST(unnest(generate_series((SELECT min(d) FROM o), (SELECT max(d) FROM o), "
+            "INTERVAL 1 DAY)) AS DATE) AS d) "
+            "SELECT latitude, longitude, d FROM e, days EXCEPT SELECT latitude, longitude, d FROM o")
+
+
 def all_sql() -> dict[str, str]:
     lab = "labels"
     smote = (
@@ -125,10 +132,7 @@ def all_sql() -> dict[str, str]:
         "SELECT session, minority, 1, new FROM k WHERE new > 0")
     return {
         "oversample_counts": smote,
-        "artefact_audit": (f"WITH o AS ({OBS_DAILY}), e AS (SELECT DISTINCT latitude, longitude FROM o), "
-                           "days AS (SELECT CAST(unnest(generate_series((SELECT min(d) FROM o), (SELECT max(d) FROM o), "
-                           "INTERVAL 1 DAY)) AS DATE) AS d) "
-                           "SELECT latitude, longitude, d FROM e, days EXCEPT SELECT latitude, longitude, d FROM o"),
+        "artefact_audit": daily_gaps_sql(),
         "class_balance": (f"SELECT count(*) AS n, {ci('toxic = 1')} AS positives, {rnd(ratio('count_if(toxic = 1)', 'count(*)'), 'positive_share')}, "
                           f"{rnd('CASE WHEN count_if(toxic = 1) > 0 THEN CAST(count(*) - count_if(toxic = 1) AS DOUBLE) / count_if(toxic = 1) END', 'pos_weight')} FROM {lab}"),
         "class_weights": (f"SELECT toxic, n_class, {rnd('CASE WHEN min(n_class) OVER () = 0 THEN 1 ELSE CAST(n AS DOUBLE) / (2 * n_class) END', 'weight')} "

@@ -87,6 +87,7 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "filled_lags": q_filled_lags,
         "engineered_table": q_engineered_table,
     }
-    from riskloom.plans import queries_more
+    from riskloom.plans import queries_more, queries_store
     out.update(queries_more.registry())
+    out.update(queries_store.registry())
     return out

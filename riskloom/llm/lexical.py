@@ -140,14 +140,20 @@ def _search(k: int):
     names = ["item_id", "rid", "doc_id", "score"]
 
     def run(postings: pa.Table, items: pa.Table) -> pa.Table:
+        found = [pa.table([pa.array([], pa.int64())] * 4, names=names)]
+        if not postings.num_rows or not items.num_rows:
+            return found[0]
         rid, doc_id = postings.column("rid").to_numpy(), postings.column("id")
         rids, at, doc = np.unique(rid, return_index=True, return_inverse=True)
         ids = doc_id.take(pa.array(at))
         order = np.lexsort((rids, ids.fill_null(0).to_numpy(), ids.is_null().to_numpy()))
         place = np.empty(len(order), dtype=np.int64)
         place[order] = np.arange(len(order))
-        lists = Lists(place[doc], postings.column("term_id").to_numpy(), postings.column("impact").to_numpy(), len(order))
-        found = [pa.table([pa.array([], pa.int64())] * 4, names=names)]
+        asked, weight = (items.column(c).combine_chunks().flatten().to_numpy() for c in ("terms", "weights"))
+        asked, first = np.unique(asked, return_index=True)
+        term = postings.column("term_id").to_numpy()
+        impact = weight[first][np.searchsorted(asked, term)] * postings.column("part").to_numpy()
+        lists = Lists(place[doc], term, impact, len(order))
         for item, wanted in zip(items.column("item_id"), items.column("terms")):
             docs, scores, _ = lists.best(np.unique(np.array(wanted.as_py(), dtype=np.int64)), k)
             rows = pa.array(order[docs])
@@ -163,18 +169,14 @@ def postings_of(docs: DataFrame, vocabulary: DataFrame, id_col: str = "doc_id",
     return stored(_terms(docs, id_col, text_col).join(vocabulary, "term").drop("term"), "postings")
 
 
-def weighted(postings: DataFrame) -> tuple[DataFrame, int, int]:
-    """``block, rid, id, term_id, impact`` of each posting; counts of documents and postings."""
-    counts = postings.groupBy("block", "term_id").agg(F.count("rid").alias("df"), F.sum("n").alias("n"))
-    every = counts.filter(F.col("term_id") < 0).first()
-    docs, length = (every["df"], every["n"]) if every else (0, 0)
-    total = postings.filter(F.col("term_id") >= 0).count()
+def statistics(postings: DataFrame) -> tuple[DataFrame, int, int, int]:
+    """``block, term_id, w`` of every term; counts of documents, of all their terms, of postings."""
+    counts = stored(postings.groupBy("block", "term_id").agg(F.count("rid").alias("df"), F.sum("n").alias("n")), "terms")
+    own = F.col("term_id") >= 0
+    r = counts.agg(*(F.coalesce(F.sum(F.when(c, F.col(x))), F.lit(0)) for c, x in ((~own, "df"), (~own, "n"), (own, "df")))).first()
+    docs, length, total = r
     w = F.floor(1000 * F.log((2 * F.lit(docs) + 2) / (2 * F.col("df") + 1))).cast("long")
-    weights = counts.filter(F.col("term_id") >= 0).select("block", "term_id", w.alias("w"))
-    rows = (postings.filter(F.col("term_id") >= 0).join(weights, ["block", "term_id"])
-            .withColumn("m", F.expr(f"50L + (50L * n * {docs}L) div {max(length, 1)}L"))
-            .withColumn("impact", F.expr("w * ((1000000000L * tf) div (1000L * tf + 20L * m))")))
-    return rows.filter("impact > 0").select("block", "rid", "id", "term_id", "impact"), docs, total
+    return counts.filter(own).select("block", "term_id", w.alias("w")), docs, length, total
 
 
 def ranked(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id",
@@ -195,11 +197,17 @@ def ranked(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col:
     named = asked.select("block", "term").distinct().withColumn("term_id", F.monotonically_increasing_id())
     any_term = docs.sparkSession.createDataFrame([(-1, bytearray(ALL), -1)], "block int, term binary, term_id long")
     vocabulary = stored(named.unionByName(any_term), "vocabulary")
-    rows, _, total = weighted(postings_of(docs, vocabulary, id_col, text_col))
+    postings = postings_of(docs, vocabulary, id_col, text_col)
+    weights, n_docs, length, total = statistics(postings)
     segments = blocks_for(total, segment * blocks)
-    dealt = rows.withColumn("segment", F.pmod(F.xxhash64("rid"), F.lit(segments)).cast("int"))
-    queries = (asked.join(vocabulary, ["block", "term"]).groupBy("block", F.col("id").alias("item_id"))
-               .agg(F.collect_list("term_id").alias("terms"))
+    # a posting's impact is its term's weight, which the queries bring along, times this part
+    dealt = (postings.filter("term_id >= 0").withColumn("m", F.expr(f"50L + (50L * n * {n_docs}L) div {max(length, 1)}L"))
+             .select("block", F.pmod(F.xxhash64("rid"), F.lit(segments)).cast("int").alias("segment"), "rid", "id", "term_id",
+                     F.expr("(1000000000L * tf) div (1000L * tf + 20L * m)").alias("part")))
+    queries = (asked.join(vocabulary, ["block", "term"]).join(weights, ["block", "term_id"])
+               .groupBy("block", F.col("id").alias("item_id"))
+               .agg(F.array_sort(F.collect_list(F.struct("term_id", "w"))).alias("terms"))
+               .select("block", "item_id", F.col("terms.term_id").alias("terms"), F.col("terms.w").alias("weights"))
                .withColumn("segment", F.explode(F.sequence(F.lit(0), F.lit(segments - 1)))))
     found = (dealt.groupBy("block", "segment").cogroup(queries.groupBy("block", "segment"))
              .applyInArrow(_search(k), "item_id long, rid long, doc_id long, score long"))

@@ -10,17 +10,22 @@ quantile bucket), and:
 2. a window over that small table gives each bucket's start offset;
 3. the exact rank is start + row_number inside (partition, bucket).
 
-``assign_by_rank`` goes further for splits and samples: only rows in the
-bucket that contains a cut position need an exact rank; every other row is
-classified by comparing its bucket with the cut's bucket, with no shuffle of
-the big table at all.
+``assign_by_rank`` goes further for splits and samples: it finds the exact key at
+each cut position from narrow rows (the keys alone, and of those only the rows
+of the buckets that hold a cut are put in order), and then every row of the
+wide table is compared with its partition's cut keys: no shuffle, no window.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from riskloom.session import materialize
+
 
 def hash_key(id_col, seed) -> Column:
     """md5(seed || '-' || id): the same hex string in Spark and DuckDB. Rows
@@ -122,47 +127,61 @@ def rank_in_buckets(df: DataFrame, part: list[str], bucket: str, order: list, na
             .withColumn(name, F.col("__start") + F.col("__lr")).drop("__start", "__lr"))
 
 
-def assign_by_rank(df: DataFrame, part: list[str], bucket: str, order: list, cuts: DataFrame,
-                   n_cuts: int, name: str = "segment") -> DataFrame:
-    """Segment index of each row: the number of cuts its rank exceeds.
+def cut_keys(keys: DataFrame, part: list[str], cuts, n_cuts: int) -> DataFrame:
+    """The key at each cut position of each partition, written once.
 
-    ``cuts`` has columns part... + cut_1..cut_n (non-decreasing rank
-    positions per partition; rank <= cut_1 -> segment 0, and so on). One
-    row per partition value, so it is small by construction and broadcast.
-    ``cuts`` may also be a function of the per-partition counts
-    (part..., __nc): they are then summed from the bucket counts, so one
-    aggregation over the input serves both.
+    ``keys``: part..., ``__b`` (bucket, monotone in the key), ``__key`` (an
+    orderable struct). ``cuts``: part... + cut_1..cut_n (non-decreasing
+    positions, at most the partition's rows), or a function of the rows per
+    partition (part..., __nc) that gives them. Result: part..., ``__cuts``:
+    for each cut its key (null: position 0), the rows equal to the key and how
+    many of them lie before the cut. One row a partition.
     """
-    offs = bucket_offsets(df, part, bucket)
+    offs = materialize(bucket_offsets(keys, part, "__b"), "bucket-offsets")
     if callable(cuts):
         cuts = cuts(offs.groupBy(*part).agg(F.sum("__n").alias("__nc")))
-    offs = offs.withColumn("__end", F.col("__start") + F.col("__n"))
-    cut_cols = [f"cut_{i}" for i in range(1, n_cuts + 1)]
-    # a cut splits a bucket when start < cut < end; otherwise the whole
-    # bucket lies on one side of it
-    bounds = join_null_safe(offs, F.broadcast(cuts), part)
-    marks = []
-    for c in cut_cols:
-        hit = (F.col("__start") < F.col(c)) & (F.col(c) < F.col("__end"))
-        marks.append(F.when(hit, F.col(bucket)))
-    per_bucket = bounds.select(*part, bucket, "__start", *[m.alias(f"__hit_{i}") for i, m in enumerate(marks)],
-                               *cut_cols)
-    # small table: buckets x partitions; decides every row that is not in a cut bucket
-    btab = per_bucket.select(*part, bucket, "__start", *cut_cols,
-                             F.greatest(*[F.col(f"__hit_{i}").isNotNull() for i in range(n_cuts)]).alias("__edge")
-                             if n_cuts > 1 else F.col("__hit_0").isNotNull().alias("__edge"))
-    # a null class or bucket is a group like any other: no row is lost
-    j = join_null_safe(df, btab, [*part, bucket])
-    # non-edge bucket: every rank r in (start, end] exceeds exactly the cuts c <= start
-    seg_plain = sum((F.when(F.col(c) <= F.col("__start"), 1).otherwise(0) for c in cut_cols), F.lit(0))
-    plain = j.where(~F.col("__edge")).withColumn(name, seg_plain)
-    edge = j.where(F.col("__edge"))
-    w = Window.partitionBy(*part, bucket).orderBy(*order)
-    edge = edge.withColumn("__rk", F.col("__start") + F.row_number().over(w))
-    seg_edge = sum((F.when(F.col("__rk") > F.col(c), 1).otherwise(0) for c in cut_cols), F.lit(0))
-    edge = edge.withColumn(name, seg_edge).drop("__rk")
+    cuts = materialize(cuts.select(*part, F.array(*[F.col(f"cut_{i}").cast("long") for i in range(1, n_cuts + 1)]).alias("__at")), "cuts")
+    places = cuts.select(*part, F.posexplode("__at").alias("__i", "__cut"))
+    # buckets in which a cut lies; a bucket may hold several
+    hits = join_null_safe(offs, places, part).where("__start < __cut AND __cut <= __start + __n")
+    hits = materialize(hits.select(*part, "__b", "__i", (F.col("__cut") - F.col("__start")).alias("__place")), "cut-buckets")
+    near = join_null_safe(keys, hits.select(*part, "__b").distinct(), [*part, "__b"], "left_semi")
+    group = Window.partitionBy(*part, "__b")
+    ranked = near.withColumns({"__lr": F.row_number().over(group.orderBy("__key")), "__first": F.rank().over(group.orderBy("__key")),
+                               "__equal": F.count(F.lit(1)).over(Window.partitionBy(*part, "__b", "__key"))})
+    found = join_null_safe(ranked, hits, [*part, "__b"]).where("__lr = __place").select(
+        *part, "__i", "__key", "__equal", (F.col("__lr") - F.col("__first") + 1).cast("long").alias("__take"))
+    return materialize(
+        join_null_safe(places, found, [*part, "__i"], "left").groupBy(*part)
+        .agg(F.array_sort(F.collect_list(F.struct("__i", "__cut", "__key", "__equal", "__take"))).alias("__cuts")), "cut-keys")
+
+
+def assign_by_rank(df: DataFrame, part: list[str], bucket: str, order: list, cuts, n_cuts: int, name: str = "segment") -> DataFrame:
+    """Segment index of each row: the number of cuts its rank exceeds.
+
+    ``cuts`` has columns part... + cut_1..cut_n (non-decreasing rank
+    positions per partition; rank <= cut_1 -> segment 0, and so on), or is a
+    function of the per-partition counts (part..., __nc). A null partition
+    value is a partition like any other. Rows equal in all ``order`` values are
+    interchangeable; only where a cut falls between such rows are those rows,
+    and no others, counted off.
+    """
+    key = F.struct(*[c.alias(f"k{i}") for i, c in enumerate(order)])
+    keys = cut_keys(df.select(*part, F.col(bucket).alias("__b"), key.alias("__key")), part, cuts, n_cuts)
+    j = join_null_safe(df.withColumn("__key", key), keys, part)  # one small row a partition: broadcast by its size
+    cut = lambda i: F.col("__cuts")[i]
+    split = lambda i: (F.col("__key") == cut(i)["__key"]) & (cut(i)["__take"] < cut(i)["__equal"])
+    past = lambda i: F.when(cut(i)["__cut"] <= 0, 1).when(F.col("__key") > cut(i)["__key"], 1).otherwise(0)
     keep = [*df.columns, name]
-    return plain.select(*keep).unionByName(edge.select(*keep))
+    seg = sum((past(i) for i in range(n_cuts)), F.lit(0))
+    if not keys.where(F.exists("__cuts", lambda c: c["__take"] < c["__equal"])).limit(1).count():
+        return j.withColumn(name, seg).select(*keep)
+    tied = reduce(or_, [F.coalesce(split(i), F.lit(False)) for i in range(n_cuts)])
+    same = Window.partitionBy(*part, "__key").orderBy(F.xxhash64(*df.columns))
+    rest = j.where(tied).withColumn("__rn", F.row_number().over(same))
+    counted = sum((F.when(F.coalesce(split(i), F.lit(False)), (F.col("__rn") > cut(i)["__take"]).cast("int")).otherwise(past(i))
+                   for i in range(n_cuts)), F.lit(0))
+    return j.where(~tied).withColumn(name, seg).select(*keep).unionByName(rest.withColumn(name, counted).select(*keep))
 
 
 def largest_remainder(counts: DataFrame, part: list[str], cls: str, n_col: str, total: Column,

@@ -13,8 +13,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskloom.operators.ranking import (assign_by_rank, hash_key, hex_bucket, key_bucket, largest_remainder,
-                                       mix32, row_key32, sampled_range_bucket)
+from riskloom.operators.ranking import (assign_by_rank, cut_keys, hash_key, hex_bucket, join_null_safe, key_bucket,
+                                       largest_remainder, mix32, row_key32, sampled_range_bucket)
+from riskloom.session import materialize
 
 # Split presets (held-out ratio, second ratio, second applies to).
 PRESETS = {
@@ -25,19 +26,10 @@ SEGMENTS = ["test", "val", "train"]
 DEFAULT_SEED = 42
 
 
-def auto_digits(df: DataFrame, digits: int | None) -> int:
-    """Hex digits of the hash bucket. Exactness never depends on it; it
-    balances the bucket-count table (16^d rows per class) against the rows of
-    a cut bucket that get an exact local rank (n / 16^d): both about sqrt(n).
-    3 digits up to ~10^7 rows, 5 at 10^12."""
-    if digits is not None:
-        return digits
-    return digits_for(df.count())
-
-
-def digits_for(n: int) -> int:
-    import math
-    return int(max(3, min(6, math.ceil(math.log(max(n, 1), 16) / 2))))
+#: Leading hex digits of a hash that make a bucket. Exactness never depends on
+#: them; they balance the bucket counts (16^d a class) against the keys of a cut
+#: bucket that are put in order (n / 16^d).
+BUCKET_DIGITS = 4
 
 
 def _holdout_quota(counts, part, label, n_col, ratio, name):
@@ -68,7 +60,7 @@ def stratified_split(df: DataFrame, id_col: str, label: str, preset: str = "60/2
                      seed: int = DEFAULT_SEED, digits: int | None = None, name: str = "split") -> DataFrame:
     """B1/B2: add ``split`` in {train, val, test} with exact per-class counts."""
     h = df.withColumn("__h", hash_key(id_col, seed))
-    h = h.withColumn("__b", hex_bucket(F.col("__h"), auto_digits(df, digits)))
+    h = h.withColumn("__b", hex_bucket(F.col("__h"), digits or BUCKET_DIGITS))
     seg = assign_by_rank(h, [label], "__b", [F.col("__h"), F.col(id_col)],
                          lambda c: split_quotas_from_counts(c, label, preset), 2, "__seg")
     return seg.withColumn(name, F.element_at(F.array(*[F.lit(s) for s in SEGMENTS]), F.col("__seg") + 1)) \
@@ -78,7 +70,7 @@ def stratified_split(df: DataFrame, id_col: str, label: str, preset: str = "60/2
 def two_way_split(df: DataFrame, id_col: str, label: str, ratio: float, seed: int = DEFAULT_SEED,
                   digits: int | None = None, name: str = "holdout") -> DataFrame:
     """B1: ``holdout`` = 1 for ceil(ratio*n) rows shared by class, else 0."""
-    h = df.withColumn("__h", hash_key(id_col, seed)).withColumn("__b", hex_bucket(F.col("__h"), auto_digits(df, digits)))
+    h = df.withColumn("__h", hash_key(id_col, seed)).withColumn("__b", hex_bucket(F.col("__h"), digits or BUCKET_DIGITS))
     seg = assign_by_rank(h, [label], "__b", [F.col("__h"), F.col(id_col)],
                          lambda c: _holdout_quota(c, [], label, "__nc", ratio, "cut_1").select(label, "cut_1"),
                          1, "__seg")
@@ -96,9 +88,9 @@ def stratified_samples(df: DataFrame, id_col: str, label: str, split_col: str =
     The per-model order is a 32-bit scramble (``mix32``) of one md5 key per
     row, so each (row, model) pair costs integer arithmetic, not a digest.
 
-    One scan builds the per-(model, split, class, bucket) counts; rows are
-    then exploded per model and filtered in the same stage; only rows in a
-    cut bucket are ranked exactly.
+    Narrow rows (keys and classes) give the cut key of every (model, split,
+    class); the wide rows are compared with them where they are read and copied
+    only for the models they belong to.
     """
     fraction = fraction if fraction is not None else 1.0 / n_models
     offsets = split_offsets or {"train": 0, "val": 100, "test": 200}
@@ -120,18 +112,38 @@ def stratified_samples(df: DataFrame, id_col: str, label: str, split_col: str =
                                   F.col(split_col)), F.lit(0))
     # one md5 per row; each (row, model) pair only scrambles it with integer
     # arithmetic (seed = seed_base + model + split offset)
-    d = auto_digits(df, digits)
-    ex = df.withColumn("__x", row_key32(id_col, f"{seed_base}s"))
-    ex = ex.withColumn("model_id", F.explode(F.sequence(F.lit(1), F.lit(n_models))))
-    ex = ex.withColumn("__h", mix32(F.col("__x"), F.lit(seed_base) + F.col("model_id") + off)).drop("__x")
-    ex = ex.withColumn("__b", key_bucket(F.col("__h"), d))
+    d = BUCKET_DIGITS if digits is None else digits
+    rows = df.withColumns({"__x": row_key32(id_col, f"{seed_base}s"), "__off": off})
+    hashed = lambda m: mix32(F.col("__x"), F.lit(seed_base) + m + F.col("__off"))
+    models = F.sequence(F.lit(1), F.lit(n_models))
+    narrow = rows.select(split_col, label, "__x", "__off", F.col(id_col).alias("__id"), F.explode(models).alias("model_id"))
+    narrow = narrow.withColumn("__h", hashed(F.col("model_id")))
     part = ["model_id", split_col]
 
     def cuts(c):
         return _holdout_quota(c, part, label, "__nc", fraction, "cut_1").select(*part, label, "cut_1")
 
-    seg = assign_by_rank(ex, [*part, label], "__b", [F.col("__h"), F.col(id_col)], cuts, 1, "__seg")
-    return seg.where(F.col("__seg") == 0).drop("__h", "__b", "__seg")
+    # the cut keys of every (model, split, class) at once, from narrow rows ...
+    keys = cut_keys(narrow.select(*part, label, key_bucket(F.col("__h"), d).alias("__b"),
+                                  F.struct(F.col("__h").alias("k0"), F.col("__id").alias("k1")).alias("__key")), [*part, label], cuts, 1)
+    # ... side by side for each (split, class): a row meets those of its own
+    c = F.col("__cuts")[0]
+    mine = keys.groupBy(split_col, label).agg(F.array_sort(F.collect_list(F.struct(
+        F.col("model_id").alias("m"), c["__cut"].alias("cut"), c["__key"].alias("key"), c["__equal"].alias("equal"),
+        c["__take"].alias("take")))).alias("__grid"))
+    j = join_null_safe(rows, materialize(mine, "sample-cuts"), [split_col, label])
+    own = lambda g: F.struct(hashed(g["m"]).alias("k0"), F.col(id_col).alias("k1"))
+    member = F.filter("__grid", lambda g: (g["cut"] > 0) & (own(g) <= g["key"]))
+    # a row is copied only for the models it is in
+    out = j.withColumn("__g", F.explode(member))
+    tied = (own(F.col("__g")) == F.col("__g.key")) & (F.col("__g.take") < F.col("__g.equal"))
+    keep = [*df.columns, "model_id"]
+    out = out.withColumn("model_id", F.col("__g.m"))
+    if not keys.where("__cuts[0].__take < __cuts[0].__equal").limit(1).count():
+        return out.select(*keep)
+    same = Window.partitionBy("model_id", split_col, label, "__g.key").orderBy(F.xxhash64(*df.columns))
+    rest = out.where(tied).withColumn("__rn", F.row_number().over(same)).where(F.col("__rn") <= F.col("__g.take"))
+    return out.where(~tied).select(*keep).unionByName(rest.select(*keep))
 
 
 def fixed_sample(df: DataFrame, id_col: str, label: str, n: int, seed: int = DEFAULT_SEED,
@@ -143,7 +155,7 @@ def fixed_sample(df: DataFrame, id_col: str, label: str, n: int, seed: int = DEF
         want = F.least(F.lit(int(n)).cast("long"), tot)
         return largest_remainder(counts, [], label, "__nc", want, "cut_1").select(label, "cut_1")
 
-    h = df.withColumn("__h", hash_key(id_col, seed)).withColumn("__b", hex_bucket(F.col("__h"), auto_digits(df, digits)))
+    h = df.withColumn("__h", hash_key(id_col, seed)).withColumn("__b", hex_bucket(F.col("__h"), digits or BUCKET_DIGITS))
     seg = assign_by_rank(h, [label], "__b", [F.col("__h"), F.col(id_col)], cuts, 1, "__seg")
     return seg.where(F.col("__seg") == 0).drop("__h", "__b", "__seg")
 

@@ -104,3 +104,36 @@ def test_bucket_width_does_not_change_results(spark):
     df = labels(spark, 600)
     outs = [B.stratified_split(df, "id", "y", "60/20/20", digits=d) for d in (1, 2, 4)]
     assert outs[0].exceptAll(outs[1]).count() == 0 and outs[0].exceptAll(outs[2]).count() == 0
+
+
+def test_ties_and_null_ids_are_counted_off_exactly(spark):
+    # 120 rows without an id, 60 rows of one id, some of them equal in every column
+    rows = [(None, k % 2, "a") for k in range(120)] + [(5, 0, f"p{k % 3}") for k in range(60)] + [(i, i % 2, "z") for i in range(10, 90)]
+    df = spark.createDataFrame(rows, "id long, y int, pay string").repartition(5)
+    s = B.stratified_split(df, "id", "y", "60/20/20")
+    assert {r.split: r["count"] for r in s.groupBy("split").count().collect()} == {"test": 52, "val": 52, "train": 156}
+    assert s.drop("split").exceptAll(df).count() == 0 == df.exceptAll(s.drop("split")).count()
+    smp = B.stratified_samples(s, "id", "y", "split", n_models=4)
+    assert {(r.model_id, r.split): r["count"] for r in smp.groupBy("model_id", "split").count().collect()} == {
+        (m, k): n for m in range(1, 5) for k, n in (("train", 39), ("val", 13), ("test", 13))}
+    assert B.fixed_sample(df, "id", "y", 77).count() == 77
+    assert B.two_way_split(df, "id", "y", 0.25).agg(F.sum("holdout")).first()[0] == 65
+
+
+def test_wide_rows_are_not_shuffled(spark, tmpdir_path):
+    wide = labels(spark, 3000).withColumn("pay", F.array_repeat(F.lit(1.5), 30))
+    wide.write.parquet(tmpdir_path + "/wide")
+    df = spark.read.parquet(tmpdir_path + "/wide")
+    split = B.stratified_split(df, "id", "y")
+    split.write.parquet(tmpdir_path + "/split")
+    samples = B.stratified_samples(spark.read.parquet(tmpdir_path + "/split"), "id", "y", "split")
+    for out in (split, B.two_way_split(df, "id", "y", 0.3), B.fixed_sample(df, "id", "y", 500), samples):
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange hashpartitioning" not in plan and "Window" not in plan and "SortMergeJoin" not in plan
+        assert plan.count("FileScan") == 2  # the rows, and the cut keys
+
+
+def test_empty_table_splits(spark):
+    none = spark.createDataFrame([], "id long, y int")
+    assert B.stratified_split(none, "id", "y").count() == 0 and B.fixed_sample(none, "id", "y", 5).count() == 0
+    assert B.stratified_samples(none.withColumn("split", F.lit("train")), "id", "y", "split").count() == 0

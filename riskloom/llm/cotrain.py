@@ -92,15 +92,15 @@ def meta_features(lang: str | None, source: str | None, n_chars: int | None) ->
     return out
 
 
-def _views(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
-    text, lang, source, chars = (batch.column(f"_{c}").to_pylist() for c in ("text", "lang", "source", "n_chars"))
+def _views(batch: pa.RecordBatch, mark: str = "_") -> tuple[np.ndarray, np.ndarray]:
+    text, lang, source, chars = (batch.column(f"{mark}{c}").to_pylist() for c in ("text", "lang", "source", "n_chars"))
     return np.stack([text_features(t) for t in text]), np.stack([meta_features(*m) for m in zip(lang, source, chars)])
 
 
-def _inputs(docs: DataFrame) -> list:
+def _inputs(docs: DataFrame, mark: str = "_") -> list:
     """The columns that the views read, under names of their own; absent ones are null."""
     kinds = {"text": "string", "lang": "string", "source": "string", "n_chars": "long"}
-    return [(F.col(c) if c in docs.columns else F.lit(None)).cast(kind).alias(f"_{c}") for c, kind in kinds.items()]
+    return [(F.col(c) if c in docs.columns else F.lit(None)).cast(kind).alias(f"{mark}{c}") for c, kind in kinds.items()]
 
 
 def _feature_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -242,16 +242,26 @@ def train(rows: DataFrame, rounds: int = ROUNDS) -> Model | None:
     return model
 
 
-def _score_batches(model: Model, columns: list[str]):
+def _score_batches(model: Model, columns: list[str], mark: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
                 part = batch.slice(at, 512)
-                scores = [pa.array(s, pa.float64()) for s in model.score(*(v.astype(np.float64) for v in _views(part)))]
+                scores = [pa.array(s, pa.float64()) for s in model.score(*(v.astype(np.float64) for v in _views(part, mark)))]
                 yield pa.RecordBatch.from_arrays([*(part.column(c) for c in columns), *scores], [*columns, *SCORES])
     return run
 
 
+def _stored_batches(model: Model):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n = batch.num_rows
+            views = (np.asarray(batch.column(c).flatten(), dtype=np.float64).reshape(n, -1) if n else np.zeros((0, 1)) for c in ("a", "b"))
+            scores = [pa.array(s, pa.float64()) for s in model.score(*views)] if n else [pa.array([], pa.float64())] * 3
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *scores], ["doc_id", *SCORES])
+    return run
+
+
 SCORES = ["_p_text", "_p_meta", "_score"]
 
 
@@ -262,15 +272,31 @@ def score(docs: DataFrame, labels: DataFrame, rounds: int = ROUNDS, keep: float
     only never labelled. A null or empty text and null metadata have features
     of their own. Without labels of both classes nothing is learned: scores
     are null and all documents kept. An empty table gives no rows. Columns other
-    than those read pass through; absent metadata columns count as null.
+    than those read pass through whatever their names; only earlier columns of
+    the four result names are replaced. Absent metadata columns count as null.
     """
     ship_package(docs.sparkSession)
     model = train(features(docs, labels), rounds)
-    columns = docs.columns
+    columns = [c for c in docs.columns if c not in (*SCORES, "_keep")]
     if model is None:
         return docs.select(*columns, *[F.lit(None).cast("double").alias(c) for c in SCORES], F.lit(True).alias("_keep"))
-    schema = T.StructType([*docs.schema.fields, *[T.StructField(c, T.DoubleType()) for c in SCORES]])
-    scored = docs.select("*", *_inputs(docs)).mapInArrow(_score_batches(model, columns), schema)
+    mark = "_"
+    while any(c.startswith(mark) for c in columns):
+        mark += "_"
+    schema = T.StructType([*(docs.schema[c] for c in columns), *[T.StructField(c, T.DoubleType()) for c in SCORES]])
+    scored = docs.select(*columns, *_inputs(docs, mark)).mapInArrow(_score_batches(model, columns, mark), schema)
+    return scored.withColumn("_keep", F.col("_score") >= keep)
+
+
+def quality(docs: DataFrame, labels: DataFrame, rounds: int = ROUNDS, keep: float = KEEP) -> DataFrame:
+    """``doc_id`` and the four columns of :func:`score` for every row of ``docs``,
+    from the stored features: texts are read once."""
+    ship_package(docs.sparkSession)
+    rows = features(docs, labels)
+    model = train(rows, rounds)
+    if model is None:
+        return rows.select("doc_id", *[F.lit(None).cast("double").alias(c) for c in SCORES], F.lit(True).alias("_keep"))
+    scored = rows.select("doc_id", "a", "b").mapInArrow(_stored_batches(model), "doc_id long, " + ", ".join(f"{c} double" for c in SCORES))
     return scored.withColumn("_keep", F.col("_score") >= keep)
 
 

@@ -17,7 +17,7 @@ SHARDS = [f"shard-{i:03d}" for i in range(64)]
 
 
 def op1_cotraining_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    scored = cotrain.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    scored = cotrain.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return scored.selectExpr("doc_id", "_p_text AS p_text", "_p_meta AS p_meta", "_score AS score", "_keep AS kept")
 
 

@@ -56,3 +56,33 @@ def test_pseudo_labels_come_from_the_other_view():
     (_, _, wa), (_, yb, wb) = cotrain._taught(model)(a, b, np.full(3, np.nan), np.zeros(3, bool))
     assert wa.tolist() == [0, 0, 0]                      # the other view is never sure
     assert wb.tolist() == [cotrain.TRUST, cotrain.TRUST, 0] and yb[:2].tolist() == [1, 0]
+
+
+def test_clashing_names_and_own_output(spark):
+    docs, labels = corpus(300)
+    df = spark.createDataFrame(docs, SCHEMA)
+    lab = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    odd = df.selectExpr("*", "'x' AS _text", "1 AS _lang", "2 AS __source", "3 AS _n_chars", "4 AS _id")
+    once = cotrain.score(odd, lab)
+    assert once.columns == [*odd.columns, *cotrain.SCORES, "_keep"]
+    again = cotrain.score(once, lab)  # its own output: scores are replaced
+    assert again.columns == once.columns and cotrain.keep_good(once, lab).columns == once.columns
+    first = {r.doc_id: r._score for r in cotrain.score(df, lab).collect()}
+    assert {r.doc_id: r._score for r in again.collect()} == first
+    # the scores of stored features are those of the texts
+    stored = {r.doc_id: r._score for r in cotrain.quality(df, lab).collect()}
+    assert stored.keys() == first.keys() and max(abs(stored[i] - first[i]) for i in first) < 1e-5
+    assert cotrain.quality(df.limit(0), lab).count() == 0
+
+
+def test_fit_is_that_of_a_plain_logistic_regression(spark):
+    rnd = np.random.default_rng(4)
+    x = np.column_stack([np.ones(400), rnd.normal(size=(400, 3))])
+    y = (rnd.random(400) < 1 / (1 + np.exp(-(x @ [0.3, 1.0, -2.0, 0.0])))).astype(int)
+    rows = spark.createDataFrame([(v.tolist(), v.tolist(), int(t), False) for v, t in zip(x, y)],
+                                 "a array<float>, b array<float>, y int, held boolean").repartition(3)
+    got = cotrain._fit(rows, lambda a, b, t, held: [(a, t, np.ones(len(t)))], [np.zeros(4)], 8, ridge=0.5)[0]
+    plain, penalty = np.zeros(4), np.array([1e-3, 0.5, 0.5, 0.5])
+    for _ in range(20_000):
+        plain -= 0.005 * (x.T @ (1 / (1 + np.exp(-(x @ plain))) - y) + penalty * plain)
+    assert np.abs(got - plain).max() < 1e-4

@@ -38,6 +38,18 @@ def _int8(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray
     return codes, scale, (back * back).sum(axis=1), np.sqrt(((x - back) ** 2).sum(axis=1))
 
 
+def _distances(c: np.ndarray, q: np.ndarray) -> np.ndarray:
+    """Euclidean distances; squares that leave the range of a double are taken of scaled differences."""
+    with np.errstate(over="ignore", invalid="ignore", under="ignore"):
+        gap = c - q
+        out = np.sqrt((gap ** 2).sum(axis=1))
+        odd = ~np.isfinite(out) | ((out < 1e-140) & (gap != 0).any(axis=1))
+        if odd.any():
+            most = np.abs(gap[odd]).max(axis=1)
+            out[odd] = np.where(np.isfinite(most), most * np.sqrt(((gap[odd] / most[:, None]) ** 2).sum(axis=1)), np.inf)
+    return out
+
+
 def _tile(q_ids: np.ndarray, q: np.ndarray, c_ids: np.ndarray, c: np.ndarray, k: int):
     """(query, candidate, distance) of the k nearest distinct ids in the tile."""
     # float products of int8 codes are exact integers up to 2**24 / 127**2 components
@@ -49,17 +61,20 @@ def _tile(q_ids: np.ndarray, q: np.ndarray, c_ids: np.ndarray, c: np.ndarray, k:
         ids, part = q_ids[at:at + STEP], q[at:at + STEP]
         qc, qs, qn, qe = _int8(part)
         dots = (qc.astype(exact) @ cc.T).astype(np.float64)
-        near = np.sqrt(np.maximum(qn[:, None] + cn - 2.0 * qs[:, None] * cs * dots, 0.0))
-        # besides the errors of coding, the rounding of these sums themselves
-        slack = qe[:, None] + ce + 1e-6 * (np.sqrt(qn)[:, None] + np.sqrt(cn))
-        near[ids[:, None] == c_ids] = np.inf
-        high = near + slack
-        kth = min(k * repeats, len(c_ids)) - 1
-        bound = np.partition(high, kth, axis=1)[:, kth]
-        alive = (near - slack <= bound[:, None]) & np.isfinite(near)
+        own = ids[:, None] == c_ids
+        with np.errstate(over="ignore", invalid="ignore"):
+            near = np.sqrt(np.maximum(qn[:, None] + cn - 2.0 * qs[:, None] * cs * dots, 0.0))
+            # besides the errors of coding, the rounding of these sums themselves
+            slack = qe[:, None] + ce + 1e-6 * (np.sqrt(qn)[:, None] + np.sqrt(cn))
+            high = np.where(own, np.inf, near + slack)
+            high[np.isnan(high)] = np.inf
+            kth = min(k * repeats, len(c_ids)) - 1
+            bound = np.partition(high, kth, axis=1)[:, kth]
+            # sums beyond the range of a double bound nothing: those pairs are recomputed
+            alive = ~(near - slack > bound[:, None]) & ~own
         for i in range(len(part)):
             rows = np.flatnonzero(alive[i])
-            true = np.sqrt(((c[rows] - part[i]) ** 2).sum(axis=1))
+            true = _distances(c[rows], part[i])
             best: dict[int, float] = {}
             for score, vec in zip(true.tolist(), c_ids[rows].tolist()):
                 if score < best.get(vec, np.inf):
@@ -102,7 +117,8 @@ def nearest(df: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", k
     Columns ``query_id, rank, vec_id, score``; Euclidean distance in double
     precision, ties to the smaller id, all candidates if there are fewer than
     k. Rows that share an id are one item with several vectors: its distance
-    is the smallest. Equal rows count once. No usable row: no result.
+    is the smallest. Equal rows count once. No usable row: no result. A distance
+    beyond the largest double is infinite; components of any size take part.
     Other columns of ``df`` are ignored whatever their names.
     """
     ship_package(df.sparkSession)

@@ -48,3 +48,14 @@ def test_few_and_none(spark):
     got, n = run(spark, rows, 10, 100)
     assert [(r[1], r[2]) for r in sorted(got)] == [(1, 1), (2, 2)] and n == 2
     assert run(spark, [(1, None, "")], 10, 100) == (set(), 0)
+
+
+def test_components_of_any_size(spark):
+    rows = [(0, [1e200, 1.0], ""), (1, [1e200, 2.0], ""), (2, [-1e308, 5.0], ""), (3, [1e-200, 0.0], ""), (100, [3e-200, 0.0], "")]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, query_id string")
+    got = {r.query_id: [] for r in df.selectExpr("vec_id query_id").collect() if r.query_id % 100 == 0}
+    for r in knn.nearest(df, k=10).orderBy("query_id", "rank").collect():
+        got[r.query_id].append((r.vec_id, r.score))
+    assert [v for v, _ in got[0]] == [1, 3, 100, 2] and got[0][0][1] == 1.0 and got[0][1][1] == 1e200
+    assert [v for v, _ in got[100]] == [3, 0, 1, 2] and math.isclose(got[100][0][1], 2e-200)
+    assert got[0][3][1] == 1e308 + 1e200

@@ -1,7 +1,8 @@
-"""Registered queries of sources, sinks and audits (S1-S3, S8), with their SQL.
+"""Registered queries of sources, sinks and audits (S1-S3, S8), and of the
+plans that only large or untidy tables need (M1, W1-W6), with their SQL.
 
-Each writes files from whole tables to a folder of its own under the shared
-checkpoint folder and returns what the library reads back from them.
+Those of sources and sinks write files from whole tables to a folder of their
+own under the shared checkpoint folder and return what the library reads back.
 """
 
 from __future__ import annotations
@@ -10,8 +11,12 @@ import uuid
 
 from pyspark.sql import functions as F
 
+from riskloom.functions.features import add_row_features
+from riskloom.operators.order_stats import exact_medians
 from riskloom.operators.sampling import stratified_samples, stratified_split
-from riskloom.plans.oracle import OBS_DAILY
+from riskloom.operators.windows import add_weather_window_features
+from riskloom.plans.common import rounded
+from riskloom.plans.oracle import KEY, OBS_DAILY, OBS_GAPS, _sel_round, filled
 from riskloom.session import checkpoint_dir, materialize
 from riskloom.sources import adapters as A
 from riskloom.sources import audit
@@ -22,6 +27,10 @@ ENTITY = ["latitude", "longitude"]
 MODELS, SESSIONS = 12, 6
 
 
+UNTIDY_COLUMNS = ["latitude", "longitude", "d", "datetime", "tmmx", "tmmn", "rmax", "rmin", "vpd", "vs", "erc", "bi", "fm100", "fm1000",
+                  "pr", "srad"]
+
+
 def _folder(spark, name):
     return f"{checkpoint_dir(spark).rstrip('/')}/tables/{name}-{uuid.uuid4().hex[:12]}"
 
@@ -78,8 +87,49 @@ def q_artefact_listing_gaps(spark, sf_dir):
     return audit.artefact_gaps(files, MODELS, SESSIONS)
 
 
+# -- M1: medians by histogram passes ----------------------------------------------
+MEDIANS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_partkey"]
+
+
+def q_histogram_medians(spark, sf_dir):
+    """Medians of ``lineitem`` columns with bands so small that the bucket
+    refinement runs, as it does for columns of any size beyond a band."""
+    rows = A.table(spark, sf_dir, "lineitem").select(*[F.col(c).cast("double").alias(c) for c in MEDIANS])
+    found = exact_medians(rows, MEDIANS, max_band=500)
+    return spark.createDataFrame([(c, found[c]) for c in MEDIANS], "column string, median double")
+
+
+# -- W1-W6 on an untidy table --------------------------------------------------------
+UNTIDY = ["temp_3day_avg", "temp_7day_avg", "vpd_3day_avg", "vpd_7day_avg", "humidity_3day_avg", "temp_lag1", "vpd_lag1",
+          "humidity_lag1", "temp_change", "humidity_change", "vpd_change"]
+
+
+def _untidy(spark, sf_dir):
+    """Daily rows with missing values, missing times, missing entities and days given twice."""
+    o = A.obs_daily_with_gaps(spark, sf_dir).drop("wildfire")
+    twice = o.where("vs > 3").withColumn("tmmx", F.col("tmmx") + 1).withColumn("k", F.lit(1))
+    both = o.withColumn("k", F.lit(0)).unionByName(twice)
+    return both.withColumns({"latitude": F.when(~((F.col("latitude") == 11) & (F.col("vs") > 3)), F.col("latitude")),
+                             "datetime": F.when(~((F.col("latitude") == 3) & (F.col("pr") == 0)), F.col("datetime"))})
+
+
+def _untidy_windows(spark, sf_dir, chunk_days):
+    o = _untidy(spark, sf_dir).withColumn("ts", F.col("datetime").cast("timestamp_ntz"))
+    out = add_weather_window_features(add_row_features(o, "ts"), ENTITY, "ts", ("k", "d"), chunk_days=chunk_days)
+    return rounded(out.select(*ENTITY, "d", "k", *UNTIDY))
+
+
+def q_untidy_windows(spark, sf_dir):
+    return _untidy_windows(spark, sf_dir, None)
+
+
+def q_untidy_windows_chunked(spark, sf_dir):
+    return _untidy_windows(spark, sf_dir, 4)
+
+
 def registry() -> dict:
-    return {"csv_type_report": q_csv_type_report, "csv_typed_rows": q_csv_typed_rows, "shard_round_trip": q_shard_round_trip,
+    return {"histogram_medians": q_histogram_medians, "untidy_windows": q_untidy_windows,
+            "untidy_windows_chunked": q_untidy_windows_chunked, "csv_type_report": q_csv_type_report, "csv_typed_rows": q_csv_typed_rows, "shard_round_trip": q_shard_round_trip,
             "gap_runs": q_gap_runs, "artefact_listing_gaps": q_artefact_listing_gaps}
 
 
@@ -89,7 +139,17 @@ def all_sql() -> dict[str, str]:
     cells = ", ".join(f"({i}, '{c}', '{k}')" for i, (c, k) in enumerate(
         [("event_id", "long"), ("user_id", "long"), ("ts", "text"), ("event_type", "text"), ("value", "double"), ("props", "text")]))
     gaps = daily_gaps_sql()
+    tidy = ", ".join(c for c in UNTIDY_COLUMNS if c not in ("latitude", "datetime", "tmmx"))
+    row = ("SELECT CASE WHEN latitude = 11 AND vs > 3 THEN NULL ELSE latitude END AS latitude, "
+           "CASE WHEN latitude = 3 AND pr = 0 THEN NULL ELSE datetime END AS datetime, {t} AS tmmx, {k} AS k, " + tidy + f" FROM ({OBS_GAPS}) g")
+    untidy = row.format(t="tmmx", k=0) + " UNION ALL " + row.format(t="tmmx + 1", k=1) + " WHERE vs > 3"
+    windows = filled(untidy).replace(KEY, "PARTITION BY latitude, longitude ORDER BY ts ASC NULLS LAST, k, d")
+    windows = f"SELECT latitude, longitude, d, k, {_sel_round(UNTIDY)} FROM ({windows}) w"
     return {
+        "untidy_windows": windows,
+        "untidy_windows_chunked": windows,
+        "histogram_medians": " UNION ALL ".join(
+            f"SELECT '{c}' AS \"column\", CAST(median(CAST({c} AS DOUBLE)) AS DOUBLE) AS median FROM lineitem" for c in MEDIANS),
         "csv_type_report": f"""
 SELECT CAST(t.place AS INTEGER) AS place, t.name AS "column", t.kind, e.cells,
        CASE WHEN t.name = 'value' THEN e.missing ELSE 0 END AS missing, CASE WHEN t.name = 'value' THEN e.bad ELSE 0 END AS bad

@@ -148,6 +148,11 @@ def all_sql() -> dict[str, str]:
     out["new_observation_rows"] = (f"SELECT CAST(latitude AS VARCHAR) || '|' || CAST(longitude AS VARCHAR) || '|' || datetime AS row_id, "
                                    f"false AS late, true AS in_range, true AS decided_at_cut FROM ({OBS_DAILY}) o "
                                    f"WHERE d > (SELECT max(d) - 10 FROM ({OBS_DAILY}) p)")
+    out["graph_oversample_counts"] = """
+WITH c AS (SELECT count(*) FILTER (label = 0) AS pos, count(*) FILTER (label <> 0) AS neg FROM embeddings),
+w AS (SELECT *, CAST(floor(neg * CAST(0.3 AS DOUBLE)) AS BIGINT) - pos AS want FROM c)
+SELECT 0 AS y, 0 AS synthetic, 64 AS width, neg AS n, CAST(0 AS BIGINT) AS bases FROM w
+UNION ALL SELECT 1, 0, 64, pos, 0 FROM w UNION ALL SELECT 1, 1, 64, want, least(want, pos) FROM w WHERE want > 0"""
     rows = "(SELECT vec_id AS row_id, CASE WHEN label = 0 THEN 1 ELSE 0 END AS y FROM embeddings)"
     cut = split_sql("60/20/20", rows, "row_id", "y")
     out["boosted_score_rows"] = (f"SELECT split, row_id, y, CAST(12 AS BIGINT) AS models, CAST(0 AS BIGINT) AS bad "

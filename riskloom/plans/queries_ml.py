@@ -71,6 +71,18 @@ def q_minority_oversample(spark, sf_dir):
         "row_id", "session", "synthetic", "y", F.size("features").alias("width"))
 
 
+def q_graph_oversample(spark, sf_dir):
+    """B7 over the whole table: each synthetic row with its base and neighbour."""
+    from riskloom.operators.minority import oversample
+    out = oversample(A.training_set(spark, sf_dir))
+    return out.select("row_id", "y", "synthetic", "base", "neighbour", F.size("features").alias("width"))
+
+
+def q_graph_oversample_counts(spark, sf_dir):
+    return q_graph_oversample(spark, sf_dir).groupBy("y", "synthetic", "width").agg(
+        F.count(F.lit(1)).alias("n"), F.countDistinct("base").alias("bases"))
+
+
 def q_model_shards(spark, sf_dir):
     from riskloom.plans.shard import model_shards, prepare_vectors
     vec, _ = prepare_vectors(A.obs_daily(spark, sf_dir))
@@ -142,5 +154,7 @@ def registry() -> dict:
         "stacked_forest": q_stacked_forest,
         "new_data_scores": q_new_data_scores,
         "minority_oversample": q_minority_oversample,
+        "graph_oversample": q_graph_oversample,
+        "graph_oversample_counts": q_graph_oversample_counts,
         "oversample_counts": q_oversample_counts,
     }

@@ -40,6 +40,7 @@ RECALL = 0.999
 SMALL = 48      # sets compared by brute force
 DEPTH = 3       # splits of a bucket
 BLOCK = 256     # sets in a block of exact comparisons
+FIRST = 3       # runs after which sets that are tied already are told apart from the rest
 
 
 def runs_for(recall: float, similar: float = SIMILAR, depth: int = 1) -> int:
@@ -106,7 +107,8 @@ def _edge_batch(edges: list[tuple]) -> pa.RecordBatch:
 
 
 def _look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One edge for each member of a bucket that looks like another, to the least of its kind."""
+    """One edge for each member of a bucket that looks like another, to the
+    least of its kind, unless both are known to be tied."""
     for batch in batches:
         edges = []
         for members in batch.column(batch.schema.get_field_index("members")).to_pylist():
@@ -117,7 +119,8 @@ def _look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 near &= ask[:, None] | ask[None, :]
             np.fill_diagonal(near, False)
             for i, root in enumerate(forest(near)):
-                if i != root:
+                # members of one label are tied together already
+                if i != root and members[i]["label"] != members[root]["label"]:
                     edges.append((members[i]["c1"], members[i]["c2"], members[root]["c1"], members[root]["c2"]))
         yield _edge_batch(edges)
 
@@ -144,8 +147,25 @@ def _dealt(members: DataFrame, sizes: DataFrame, key: list[str], block: int) ->
 
 
 def coarse_edges(sets: DataFrame, runs: int, small: int = SMALL, depth: int = DEPTH) -> DataFrame:
-    """Edges between classes (``c1, c2, sig``) that look alike."""
+    """Edges between classes (``c1, c2, sig``) that look alike.
+
+    The first runs tie large groups together; the others report only what ties
+    different groups, so the edges stay in proportion to the classes however
+    often two members of a group meet."""
     seeds = [int(x) for x in mix(np.arange(1, runs + 1, dtype=np.uint64))]
+    own = sets.withColumn("label", F.struct("c1", "c2"))
+    found = _path_edges(own, seeds[:FIRST], small, depth)
+    if runs > FIRST:
+        label = components(found.select(F.struct(F.col("a1").alias("c1"), F.col("a2").alias("c2")).alias("a"),
+                                        F.struct(F.col("b1").alias("c1"), F.col("b2").alias("c2")).alias("b")))
+        label = label.select(F.col("node.c1").alias("c1"), F.col("node.c2").alias("c2"), F.col("component").alias("tied"))
+        known = stored(own.join(label, ["c1", "c2"], "left").withColumn("label", F.coalesce("tied", "label")).drop("tied"), "labelled")
+        found = found.union(_path_edges(known, seeds[FIRST:], small, depth))
+    return found
+
+
+def _path_edges(sets: DataFrame, seeds: list[int], small: int, depth: int) -> DataFrame:
+    """Edges of some runs between classes (``c1, c2, sig, label``)."""
     chance = 1.0 / (SIMILAR * HASHES)
     child = "path long, c1 long, c2 long"
     level = sets.select("c1", "c2", "sig").mapInArrow(_split(seeds, chance), child)
@@ -153,8 +173,8 @@ def coarse_edges(sets: DataFrame, runs: int, small: int = SMALL, depth: int = DE
     for step in range(depth):
         level = stored(level, "paths")
         sizes = level.groupBy("path").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
-        met = stored(level.join(sizes, "path"), "met").join(sets.select("c1", "c2", "sig"), ["c1", "c2"])
-        few = met.filter(F.col("size") <= small).groupBy("path").agg(F.collect_list(F.struct("c1", "c2", "sig")).alias("members"))
+        met = stored(level.join(sizes, "path"), "met").join(sets.select("c1", "c2", "sig", "label"), ["c1", "c2"])
+        few = met.filter(F.col("size") <= small).groupBy("path").agg(F.collect_list(F.struct("c1", "c2", "sig", "label")).alias("members"))
         edges = few.select("members").mapInArrow(_look, EDGES)
         found = edges if found is None else found.union(edges)
         many = stored(met.filter(F.col("size") > small), "many")
@@ -180,8 +200,8 @@ def coarse_edges(sets: DataFrame, runs: int, small: int = SMALL, depth: int = DE
     heard = asked.select("path", "c1", "c2", "near", F.explode(F.transform(
         F.sequence(F.lit(0), F.col("askers") - 1),
         lambda k: F.struct(k.alias("k"), F.pmod("hash", "parts").cast("int").alias("p"), F.lit(False).alias("ask")))).alias("to"))
-    groups = (spread.union(heard).join(sets.select("c1", "c2", "sig"), ["c1", "c2"]).groupBy("path", "to.k", "to.p")
-              .agg(F.collect_list(F.struct("c1", "c2", "sig", F.col("to.ask").alias("ask"))).alias("members")))
+    groups = (spread.union(heard).join(sets.select("c1", "c2", "sig", "label"), ["c1", "c2"]).groupBy("path", "to.k", "to.p")
+              .agg(F.collect_list(F.struct("c1", "c2", "sig", "label", F.col("to.ask").alias("ask"))).alias("members")))
     found = found.union(groups.select("members").mapInArrow(_look, EDGES))
     return stored(found.filter("not (a1 = b1 and a2 = b2)").distinct(), "edges")
 

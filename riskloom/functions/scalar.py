@@ -42,10 +42,6 @@ def bool_target(col) -> Column:
     return F.coalesce(F.lower(c.cast("string")).isin(TRUE_WORDS), F.lit(False)).cast("int")
 
 
-def numeric_target(col) -> Column:
-    return F.coalesce(_c(col) == 1, F.lit(False)).cast("int")
-
-
 def narrow_feature(col) -> Column:
     """float32 feature."""
     return _c(col).cast("float")

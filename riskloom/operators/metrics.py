@@ -44,13 +44,6 @@ def class_weights(df: DataFrame, label: str, classes=(0, 1)) -> DataFrame:
     return tot.select(F.explode(F.array(*arms)).alias("e")).select("e.*")
 
 
-def with_class_weights(df: DataFrame, label: str, weight_col: str = "weight") -> DataFrame:
-    """Attach A3 weights as a column (``weightCol`` for Spark ML). The weight
-    table has one row per class: a fixed bound, so it is broadcast."""
-    w = class_weights(df, label).select(label, F.col("weight").alias(weight_col))
-    return df.join(F.broadcast(w), on=label, how="left")
-
-
 # -- A4/A5 ---------------------------------------------------------------------
 def confusion(df: DataFrame, pred: str, label: str, keys: list[str] | None = None) -> DataFrame:
     """A4: tn, fp, fn, tp (always all four) per keys."""

@@ -17,7 +17,6 @@ from riskloom.operators.sampling import stratified_samples, stratified_split
 from riskloom.plans.engineer import engineer_features, feature_columns
 from riskloom.schema import Roles, require_columns
 from riskloom.session import materialize
-from riskloom.sources import io
 
 WIDTH = 64
 N_MODELS = 12
@@ -59,7 +58,3 @@ def model_shards(vectors: DataFrame, n_models: int = N_MODELS, id_col: str = "ro
     # written once: the per-model sampling reads the split several times
     s = materialize(stratified_split(vectors, id_col, "y", split_preset), "splits")
     return stratified_samples(s, id_col, "y", "split", n_models=n_models)
-
-
-def write_model_shards(shards: DataFrame, path: str) -> None:
-    io.write_shards(shards, path, ("model_id", "split"))

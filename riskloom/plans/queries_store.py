@@ -113,23 +113,28 @@ def _untidy(spark, sf_dir):
                              "datetime": F.when(~((F.col("latitude") == 3) & (F.col("pr") == 0)), F.col("datetime"))})
 
 
-def _untidy_windows(spark, sf_dir, chunk_days):
+def _untidy_windows(spark, sf_dir, **how):
     o = _untidy(spark, sf_dir).withColumn("ts", F.col("datetime").cast("timestamp_ntz"))
-    out = add_weather_window_features(add_row_features(o, "ts"), ENTITY, "ts", ("k", "d"), chunk_days=chunk_days)
+    out = add_weather_window_features(add_row_features(o, "ts"), ENTITY, "ts", ("k", "d"), **how)
     return rounded(out.select(*ENTITY, "d", "k", *UNTIDY))
 
 
 def q_untidy_windows(spark, sf_dir):
-    return _untidy_windows(spark, sf_dir, None)
+    return _untidy_windows(spark, sf_dir)
 
 
 def q_untidy_windows_chunked(spark, sf_dir):
-    return _untidy_windows(spark, sf_dir, 4)
+    return _untidy_windows(spark, sf_dir, chunk_days=4)
+
+
+def q_untidy_windows_measured(spark, sf_dir):
+    """Chunks of about seven rows, cut where the counts say."""
+    return _untidy_windows(spark, sf_dir, chunk_rows=7)
 
 
 def registry() -> dict:
     return {"histogram_medians": q_histogram_medians, "untidy_windows": q_untidy_windows,
-            "untidy_windows_chunked": q_untidy_windows_chunked, "csv_type_report": q_csv_type_report, "csv_typed_rows": q_csv_typed_rows, "shard_round_trip": q_shard_round_trip,
+            "untidy_windows_chunked": q_untidy_windows_chunked, "untidy_windows_measured": q_untidy_windows_measured, "csv_type_report": q_csv_type_report, "csv_typed_rows": q_csv_typed_rows, "shard_round_trip": q_shard_round_trip,
             "gap_runs": q_gap_runs, "artefact_listing_gaps": q_artefact_listing_gaps}
 
 
@@ -148,6 +153,7 @@ def all_sql() -> dict[str, str]:
     return {
         "untidy_windows": windows,
         "untidy_windows_chunked": windows,
+        "untidy_windows_measured": windows,
         "histogram_medians": " UNION ALL ".join(
             f"SELECT '{c}' AS \"column\", CAST(median(CAST({c} AS DOUBLE)) AS DOUBLE) AS median FROM lineitem" for c in MEDIANS),
         "csv_type_report": f"""

@@ -40,6 +40,7 @@ RECALL = 0.999
 SMALL = 48      # sets compared by brute force
 DEPTH = 3       # splits of a bucket
 BLOCK = 256     # sets in a block of exact comparisons
+AT_ONCE = 64    # buckets whose members are held as Python objects at once
 FIRST = 3       # runs after which sets that are tied already are told apart from the rest
 
 
@@ -109,7 +110,7 @@ def _edge_batch(edges: list[tuple]) -> pa.RecordBatch:
 def _look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """One edge for each member of a bucket that looks like another, to the
     least of its kind, unless both are known to be tied."""
-    for batch in batches:
+    for batch in (b.slice(at, AT_ONCE) for b in batches for at in range(0, b.num_rows, AT_ONCE)):
         edges = []
         for members in batch.column(batch.schema.get_field_index("members")).to_pylist():
             sigs = np.frombuffer(b"".join(m["sig"] for m in members), "<u4").reshape(-1, HASHES)

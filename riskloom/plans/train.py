@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from riskloom.functions.scalar import bool_target
 from riskloom.operators import ensemble as E
 from riskloom.operators import models as L
+from riskloom.operators.boosting import RULES
 from riskloom.operators.ensemble import screen_models_wide
 from riskloom.operators.metrics import validation_metrics
 from riskloom.operators.carry import advanced_state, carried_features, window_state
@@ -190,7 +191,7 @@ def trained(spark: SparkSession, data: DataFrame, name: str, preset: str = "full
     none. Rows are known by their fingerprint, so a changed table is trained
     anew; a training that was lost half-way goes on from its fit's folder."""
     store = store or RunStore(spark, f"{checkpoint_dir(spark).rstrip('/')}/runs")
-    about = {"rows": fingerprint(data), "preset": preset, "how": {k: str(v) for k, v in sorted(how.items())}}
+    about = {"rows": fingerprint(data), "rules": RULES, "preset": preset, "how": {k: str(v) for k, v in sorted(how.items())}}
     run = load_run(store, name)
     if run is None or run["about"] != about:
         key = F.sha2(F.lit(str(about)), 256)
@@ -218,7 +219,7 @@ def train_observations(spark: SparkSession, obs: DataFrame, name: str, preset: s
     """E-1 from raw observations, published with all that later rows need: the
     fitted preparation and the window state beside models, scaler and config."""
     store = store or RunStore(spark, f"{checkpoint_dir(spark).rstrip('/')}/runs")
-    about = {"rows": fingerprint(obs), "preset": preset}
+    about = {"rows": fingerprint(obs), "rules": RULES, "preset": preset}
     run = load_run(store, name)
     if run is None or run["about"] != about:
         path = store.begin(name)

@@ -25,7 +25,22 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/llm/{name}-{uuid.uuid4().hex[:12]}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    made = spark.read.schema(df.schema).parquet(path)
+    made.stored_path = path
+    return made
+
+
+def discard(*made: DataFrame) -> None:
+    """Delete tables of :func:`stored` whose readers are all stored themselves.
+
+    Their plans are let go too, so that Spark's cleaner removes the shuffle
+    files of steps that nothing can read again.
+    """
+    for df in made:
+        jvm = df.sparkSession._jvm
+        path = jvm.org.apache.hadoop.fs.Path(df.stored_path)
+        path.getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+        jvm.System.gc()
 
 
 def text_or_empty(col: str = "text") -> Column:

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.llm.common import stored
+from riskloom.llm.common import discard, stored
 
 
 def _both_ways(edges: DataFrame) -> DataFrame:
@@ -44,8 +44,12 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     ends = edges.select(F.col(a).alias("a"), F.col(b).alias("b")).filter(F.col("a").isNotNull() & F.col("b").isNotNull())
     ends = stored(ends.distinct(), "edges")
     now, state = ends.filter(F.col("a") != F.col("b")), None
+    before = None
     while True:
         now = stored(_small_star(_large_star(now)), "stars")
+        if before is not None:
+            discard(before)
+        before = now
         new = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if new == state:
             break

@@ -34,15 +34,28 @@ FOUND = "id string, nb string, dist double"
 
 
 def _near(ids: np.ndarray, x: np.ndarray, other_ids: np.ndarray, y: np.ndarray, k: int) -> pd.DataFrame:
-    """The k nearest others of each row by exact distances, ties to the smaller id."""
+    """The k nearest others of each row by exact distances, ties to the smaller id.
+
+    Squared distances from inner products, right up to rounding, leave out the others that are
+    surely further than the k-th nearest; only the rest are compared exactly."""
     out = []
-    for at in range(0, len(x), 256):
-        gap = np.sqrt(np.maximum(((x[at:at + 256, None, :] - y[None, :, :]) ** 2).sum(axis=2), 0.0)) if len(y) * x.shape[1] < 200_000 else \
-            np.stack([np.sqrt(((y - v) ** 2).sum(axis=1)) for v in x[at:at + 256]])
-        for i, dist in zip(ids[at:at + 256], gap):
-            dist = np.where(other_ids == i, np.inf, dist)
-            best = np.lexsort((other_ids, dist))[:k]
-            out += [(i, other_ids[j], dist[j]) for j in best if np.isfinite(dist[j])]
+    code = pd.factorize(np.concatenate([ids, other_ids]))[0]
+    own, others = code[:len(ids)], code[len(ids):]
+    with np.errstate(all="ignore"):
+        yy = (y * y).sum(axis=1)
+        for at in range(0, len(x) if len(y) else 0, 256):
+            some = x[at:at + 256]
+            xx = (some * some).sum(axis=1)[:, None]
+            rough = xx + yy - 2.0 * (some @ y.T)
+            rough[own[at:at + 256, None] == others] = np.inf
+            last = min(k, len(y)) - 1
+            limit = np.partition(rough, last, axis=1)[:, last, None] + 1e-9 * (xx + yy.max()) + 1e-300
+            far = rough > limit  # not where either is no number
+            for i, n, v, out_of_reach in zip(ids[at:at + 256], own[at:at + 256], some, far):
+                near = np.flatnonzero(~out_of_reach)
+                dist = np.where(others[near] == n, np.inf, np.sqrt(((y[near] - v) ** 2).sum(axis=1)))
+                best = np.lexsort((other_ids[near], dist))[:k]
+                out += [(i, other_ids[near[j]], dist[j]) for j in best if np.isfinite(dist[j])]
     return pd.DataFrame(out, columns=["id", "nb", "dist"]).astype({"dist": "float64"})
 
 

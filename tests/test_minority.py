@@ -78,3 +78,34 @@ def test_nothing_to_make(spark):
     assert M.oversample(one).where("synthetic = 1").count() == 0  # a single positive
     even = spark.createDataFrame([(i, [float(i)], i % 2) for i in range(20)], schema)
     assert M.oversample(even).where("synthetic = 1").count() == 0 and M.oversample(even.limit(0)).count() == 0
+
+
+def test_nearest_compares_few_rows_exactly_and_finds_the_same():
+    def plain(ids, x, other_ids, y, k):
+        out = []
+        for i, v in zip(ids, x):
+            dist = np.where(other_ids == i, np.inf, np.sqrt(((y - v) ** 2).sum(axis=1)))
+            out += [(i, other_ids[j], dist[j]) for j in np.lexsort((other_ids, dist))[:k] if np.isfinite(dist[j])]
+        return out
+
+    class Counted(np.ndarray):
+        taken = 0
+
+        def __getitem__(self, at):
+            got = super().__getitem__(at)
+            if isinstance(at, np.ndarray):
+                Counted.taken += len(got)
+            return got
+
+    rnd = np.random.default_rng(3)
+    ids = np.array([f"r{i}" for i in rnd.permutation(600)], dtype=object)
+    for x in (rnd.normal(size=(600, 16)) + 50.0, np.round(rnd.normal(size=(600, 2))), np.full((600, 3), 1e-170),
+              np.where(rnd.random((600, 4)) < 0.01, np.nan, rnd.normal(size=(600, 4)) * 1e160)):
+        for names, k in ((ids, 5), (np.array(["a", "b"] * 300, dtype=object), 3), (ids, 700)):
+            with np.errstate(all="ignore"):
+                got = M._near(names, x, names, x, k)
+                assert [*got.itertuples(index=False, name=None)] == plain(names, x, names, x, k)
+    x = rnd.normal(size=(600, 16)) + 50.0
+    M._near(ids, x, ids, x.view(Counted), 5)
+    assert 600 * 5 <= Counted.taken < 600 * 20
+    assert M._near(ids, x, ids[:0], x[:0], 5).empty

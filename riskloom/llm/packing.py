@@ -23,6 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -33,6 +34,11 @@ from riskloom.session import ship_package
 CAPACITY = 2048
 END_ID = 0           # closes every document
 WORDS_KEPT = 1_500_000  # encodings remembered by a Python worker
+TEXTS_AT_ONCE = 2048    # texts encoded at once,
+BYTES_AT_ONCE = 8 << 20 # fewer if they are long
+MARKS = ".,;:!?#*$%&"   # no letter joins one of these after it
+#: Letters in every version of Unicode.
+LETTERS = frozenset(c for c in map(chr, range(0x180)) if c.isalpha())
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, part int, nth long"
 
@@ -46,6 +52,8 @@ class Encoder:
     non-space characters to what stands before it, so a text may be cut there
     and each part encoded alone; parts recur, and their ids are remembered,
     under the part without its leading space or with its leading newline.
+    The parts of many texts are told apart by Arrow first, so that each of them is
+    looked up once, and their ids are put together by Arrow too.
     """
 
     _cut = re.compile(r"(?<=\S)(?=[ \n]\S)")
@@ -58,56 +66,83 @@ class Encoder:
         self.known: dict[str, bytes] = {}
         (self.newline,) = self.tokenizer.encode("\n", add_special_tokens=False).ids
 
-    def parts(self, text: str) -> tuple[str, list[str]]:
-        """A beginning to be encoded by itself, and the parts after it."""
+    def parts(self, text: str) -> list[str] | str:
+        """A beginning to be encoded by itself, and the parts after it; as a text
+        with a space between them if no part holds one."""
         spaced = text.replace("\n", " \n")
-        if ("  " in spaced or "\n " in spaced or text[0] in " \n" or text[-1] in " \n"
-                or any(c in text for c in self._other_space)):
+        if text and ("  " in spaced or "\n " in spaced or text[0] in " \n" or text[-1] in " \n"
+                     or any(c in text for c in self._other_space)):
             first, *rest = self._cut.split(text)
-            return first, [p[1:] if p[0] == " " else p for p in rest]
-        first, *rest = spaced.split(" ")
-        return first, rest
+            return [first, *(p[1:] if p[0] == " " else p for p in rest)]
+        return spaced
 
     def direct(self, texts: list[str]) -> list[bytes]:
         coded = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(c.ids, dtype="<u4").tobytes() for c in coded]
 
-    def learn(self, new: set[str]) -> None:
+    def learn(self, new: list[str]) -> None:
         """Encode parts that are not known yet."""
-        # A leading newline is a token of its own; so is a mark after a plain
-        # letter at the end. What is left recurs more often.
-        made = {}
+        # Marks after a letter at the end are a token or more of their own; what is left recurs more often.
+        made, text, line, known = [], {}, [], self.known
         for p in new:
-            line = p[0] == "\n" and len(p) > 1 and not p[1].isspace()
-            text = p[1:] if line else p if p[0] == "\n" else " " + p
-            mark = p[-1] if len(p) > 3 and p[-1] in ".,;:!?" and p[-2].isascii() and p[-2].isalpha() else ""
-            made[p] = ("\n" if line else "", text[:len(text) - len(mark)], mark)
-        todo = {t for _, t, _ in made.values()} | set("\n.,;:!?")
+            begin = p.rstrip(MARKS)
+            if begin is not p and begin and begin[-1] in LETTERS:
+                made.append((p, begin, p[len(begin):]))
+                p = begin
+            if p in text or p in known:
+                continue
+            if p[0] != "\n":
+                text[p] = " " + p
+            elif len(p) > 1 and not p[1].isspace():  # a leading newline is a token of its own
+                text[p] = p[1:]
+                line.append(p)
+            else:
+                text[p] = p
         # words with no space but a leading one go together, set apart by newlines
-        plain = [t for t in todo if len(w := t.split()) == 1 and t.lstrip(" ") == w[0] and t.rfind(" ") <= 0]
-        odd = list(todo.difference(plain))
+        every = {*text.values()}
+        plain, seen = list(every), "".join(text)
+        if seen.count("\n") > len(line) or any(c in seen for c in [" ", *self._other_space]):
+            plain = [t for t in every if len(w := t.split()) == 1 and len(w[0]) + (t[0] == " ") == len(t)]
+        odd = [*every.difference(plain), *{m for _, _, m in made}, "\n"]
         ids = dict(zip(odd, self.direct(odd)))
         calls = [plain[at:at + 1000] for at in range(0, len(plain), 1000)]
         for words, raw in zip(calls, self.direct(["\n".join(w) for w in calls])):
-            cuts = np.flatnonzero(np.frombuffer(raw, dtype="<u4") == self.newline).tolist()
-            for word, x, y in zip(words, [0, *(c + 1 for c in cuts)], [*cuts, len(raw) // 4]):
-                ids[word] = raw[4 * x:4 * y]
-        ids[""] = b""
-        for p, (line, text, mark) in made.items():
-            self.known[p] = ids[line] + ids[text] + ids[mark]
+            cuts = (4 * np.flatnonzero(np.frombuffer(raw, dtype="<u4") == self.newline)).tolist()
+            ids.update(zip(words, [raw[x:y] for x, y in zip([0, *(c + 4 for c in cuts)], [*cuts, len(raw)])]))
+        known.update(zip(text, map(ids.__getitem__, text.values())))
+        known.update([(p, ids["\n"] + known[p]) for p in line])
+        known.update([(p, known[begin] + ids[marks]) for p, begin, marks in made])
 
     def encode(self, texts: list[str]) -> Iterator[bytes]:
-        cut = [self.parts(t) if t else ("", []) for t in texts]
-        found = [list(map(self.known.get, rest)) for _, rest in cut]
-        new = {p for (_, rest), ids in zip(cut, found) if None in ids for p, x in zip(rest, ids) if x is None}
-        if len(self.known) + len(new) > WORDS_KEPT:
-            self.known = {}  # what was found stays in hand
-        self.learn(new)
-        known = self.known
-        for begun, (_, rest), ids in zip(self.direct([first for first, _ in cut]), cut, found):
-            if None in ids:
-                ids = [known[p] if x is None else x for p, x in zip(rest, ids)]
-            yield begun + b"".join(ids)
+        cut = [self.parts(t) for t in texts]
+        simple = [k for k, c in enumerate(cut) if isinstance(c, str)]
+        others = [k for k, c in enumerate(cut) if not isinstance(c, str)]
+        lists = [pc.split_pattern(pa.array([cut[k] for k in simple], pa.string()), " "),
+                 pa.array([cut[k] for k in others], pa.list_(pa.string()))]
+        words = pa.chunked_array([x.flatten() for x in lists], pa.string())
+        size = np.concatenate([pc.list_value_length(x).to_numpy(zero_copy_only=False) for x in lists]).astype(np.int64)
+        ends = size.cumsum()
+        first = self.direct(words.take(pa.array(ends - size)).to_pylist())
+        after = np.ones(len(words), dtype=bool)
+        after[ends - size] = False
+        rest = words.filter(pa.array(after)).combine_chunks().dictionary_encode()
+        names = rest.dictionary.to_numpy(zero_copy_only=False).tolist()
+        found = list(map(self.known.get, names))
+        if None in found:
+            new = [p for p, ids in zip(names, found) if ids is None]
+            if len(self.known) + len(new) > WORDS_KEPT:
+                self.known = {}  # what was found stays in hand
+            self.learn(new)
+            found = [self.known[p] if ids is None else ids for p, ids in zip(names, found)]
+        at = np.zeros(len(found) + 1, dtype=np.int32)
+        np.cumsum(np.fromiter(map(len, found), np.int64, len(found)) // 4, out=at[1:])
+        each = pa.ListArray.from_arrays(pa.array(at), pa.array(np.frombuffer(b"".join(found), dtype="<u4")))
+        place = {k: i for i, k in enumerate([*simple, *others])}
+        upto = np.concatenate([[0], (size - 1).cumsum()])  # words after the first
+        for k in range(len(texts)):
+            i = place[k]
+            mine = each.take(rest.indices[int(upto[i]):int(upto[i + 1])]).flatten()
+            yield first[i] + mine.to_numpy(zero_copy_only=False).tobytes()
 
 
 def cut_points(length: int, capacity: int) -> list[int]:
@@ -116,15 +151,16 @@ def cut_points(length: int, capacity: int) -> list[int]:
     return [0, *range(first, length, capacity)]
 
 
-def _pieces(path: str, capacity: int, with_ids: bool, texts_at_once: int = 512):
+def _pieces(path: str, capacity: int, with_ids: bool, texts_at_once: int = TEXTS_AT_ONCE):
     end = np.array([END_ID], dtype="<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoders.get(path) or _encoders.setdefault(path, Encoder(path))
         part, seen = TaskContext.get().partitionId(), Counter()
         for batch in batches:
-            for at in range(0, batch.num_rows, texts_at_once):
-                some = batch.slice(at, texts_at_once)
+            step = max(1, min(texts_at_once, BYTES_AT_ONCE * batch.num_rows // max(1, batch.column(1).nbytes)))
+            for at in range(0, batch.num_rows, step):
+                some = batch.slice(at, step)
                 rows: list[tuple] = []
                 ids_of: list[np.ndarray] = []
                 texts = [t or "" for t in some.column(1).to_pylist()]

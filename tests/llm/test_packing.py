@@ -97,3 +97,18 @@ def test_pack(spark):
     assert n <= -(-total // 64) + 2
     assert all(len(r.ids) <= 64 for r in packing.sequences(got).collect())
     assert packing.pack(df.limit(0), PATH, 64).count() == 0
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.text(alphabet=st.sampled_from(list("  \n\nabé9ß世.,$%&#'|<")), max_size=30), max_size=5))
+def test_marks_after_a_word_encode_as_the_whole(texts):
+    assert [np.frombuffer(x, "<u4").tolist() for x in packing.Encoder(PATH).encode(texts)] == [ids(t) for t in texts]
+
+
+def test_a_word_with_other_marks_is_tokenised_once():
+    encoder, sent = packing.Encoder(PATH), []
+    direct = encoder.direct
+    encoder.direct = lambda texts: sent.extend(texts) or direct(texts)
+    texts = ["a Thenouiné. Thenouiné$$$ Thenouiné", "b Thenouiné.%%%\nThenouiné, c\nThenouiné"]
+    assert [np.frombuffer(x, "<u4").tolist() for x in encoder.encode(texts)] == [ids(t) for t in texts]
+    assert sum(t.count("Thenouiné") for t in sent) == 2  # after a space, and at the start of a line
